@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import atexit
 import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +32,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    root = pathlib.Path(__file__).resolve().parent
+    to = pathlib.Path(tempfile.mkdtemp(prefix="glossmill-")) / "glossmill_package.zip"
+    with zipfile.ZipFile(to, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"glossmill/{f.relative_to(root)}")
+    sc.addPyFile(str(to))
+
+
 _LOCAL: list[str] = []
 
 
