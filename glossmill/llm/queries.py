@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossmill.llm import identity, lookalike, terms
+from glossmill.llm import identity, lookalike, overlap, terms
 from glossmill.session import table
 
 
@@ -38,7 +38,18 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.lookalike_pairs(forms(spark, sf_dir))
 
 
-QUERIES = {"p1_found": p1_found, "p1_terms": p1_terms, "p2_found": p2_found, "p2_forms": p2_forms}
+UNITS = {"a": "char", "b": "word"}
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.cross_split_pairs(forms(spark, sf_dir, "split", "source"), UNITS).select("corpus", "rec_a", "rec_b")
+
+
+def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.overlap_report(forms(spark, sf_dir, "split", "source"), UNITS)
+
+
+QUERIES = {"p1_found": p1_found, "p1_terms": p1_terms, "p2_found": p2_found, "p2_forms": p2_forms, "p4_found": p4_found, "p4_report": p4_report}
 
 _PLAIN = "nfc_normalize(lower(regexp_replace({}, '^\\s+|\\s+$', '', 'g')))"
 _TERMS = f"""
