@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossmill.llm import identity, lookalike, overlap, terms
-from glossmill.session import table
+from glossmill.llm import chunking, identity, lookalike, overlap, packing, terms, tokens
+from glossmill.session import materialize, table
 
 
 def _terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +51,43 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.overlap_report(forms(spark, sf_dir, "split", "source"), UNITS)
 
 
-QUERIES = {"p1_found": p1_found, "p1_terms": p1_terms, "p2_found": p2_found, "p2_forms": p2_forms, "p4_found": p4_found, "p4_report": p4_report}
+def limits(spark: SparkSession, sf_dir: str, kind: str) -> list:
+    """The rows of token_limits of one kind; the table is fixed at four rows."""
+    return sorted(r for r in table(spark, sf_dir, "token_limits").collect() if r.limit_name.startswith(kind))
+
+
+def p5_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = table(spark, sf_dir, "documents").select("doc_id", tokens.count_column(F.col("text"), tokens.vocabulary(spark)).alias("n_tokens"))
+    counted = materialize(counted, "tokens")
+    parts = [packing.pack(counted, "doc_id", "n_tokens", r.max_tokens).select(F.lit(r.limit_name).alias("limit_name"), "*") for r in limits(spark, sf_dir, "container")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def p5_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = materialize(p5_containers(spark, sf_dir), "packed")
+    parts = [packing.fill_report(packed.where(F.col("limit_name") == r.limit_name), "n_tokens", r.max_tokens).select(F.lit(r.limit_name).alias("limit_name"), "*") for r in limits(spark, sf_dir, "container")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _pieces(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    parts = [
+        chunking.split_oversized(docs, "doc_id", "text", r.max_tokens, r.overlap_tokens, tokens.vocabulary(spark)).select(F.lit(r.limit_name).alias("limit_name"), "*")
+        for r in limits(spark, sf_dir, "piece")
+        if r.limit_name == kind or not kind
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pieces(spark, sf_dir, "piece").where("piece = 1").select("doc_id")
+
+
+def p7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pieces(spark, sf_dir, "")
+
+
+QUERIES = {"p1_found": p1_found, "p1_terms": p1_terms, "p2_found": p2_found, "p2_forms": p2_forms, "p4_found": p4_found, "p4_report": p4_report, "p5_containers": p5_containers, "p5_fill": p5_fill, "p7_found": p7_found, "p7_pieces": p7_pieces}
 
 _PLAIN = "nfc_normalize(lower(regexp_replace({}, '^\\s+|\\s+$', '', 'g')))"
 _TERMS = f"""
