@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossmill.llm import chunking, identity, lookalike, overlap, packing, terms, tokens
+from glossmill.llm import chunking, identity, lookalike, mixing, overlap, packing, terms, tokens
 from glossmill.session import materialize, table
 
 
@@ -69,6 +69,15 @@ def p5_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def p6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets = mixing.Targets.of(table(spark, sf_dir, "mix_targets").select("source", "target_share", "max_repeats").collect())
+    return mixing.mix_sources(table(spark, sf_dir, "documents"), "doc_id", "source", "text", targets, tokens.vocabulary(spark))
+
+
+def p6_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.share_report(p6_mix(spark, sf_dir), "source", table(spark, sf_dir, "mix_targets"))
+
+
 def _pieces(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     parts = [
@@ -87,7 +96,7 @@ def p7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(spark, sf_dir, "")
 
 
-QUERIES = {"p1_found": p1_found, "p1_terms": p1_terms, "p2_found": p2_found, "p2_forms": p2_forms, "p4_found": p4_found, "p4_report": p4_report, "p5_containers": p5_containers, "p5_fill": p5_fill, "p7_found": p7_found, "p7_pieces": p7_pieces}
+QUERIES = {"p1_found": p1_found, "p1_terms": p1_terms, "p2_found": p2_found, "p2_forms": p2_forms, "p4_found": p4_found, "p4_report": p4_report, "p5_containers": p5_containers, "p5_fill": p5_fill, "p6_mix": p6_mix, "p6_shares": p6_shares, "p7_found": p7_found, "p7_pieces": p7_pieces}
 
 _PLAIN = "nfc_normalize(lower(regexp_replace({}, '^\\s+|\\s+$', '', 'g')))"
 _TERMS = f"""
