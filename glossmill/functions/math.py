@@ -70,14 +70,23 @@ def sinusoids(position: Column, width: int, base: float = 10_000.0) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.when(i % 2 == 0, F.sin(angle(i))).otherwise(F.cos(angle(i))))
 
 
+def sinusoid_halves(position: Column, width: int, padding: int | None = None, base: float = 10_000.0) -> Column:
+    """All sines, then all cosines; a last 0 of an odd ``width``; zeros for the padding position."""
+    half = width // 2
+    angle = lambda j: position.cast("double") * F.pow(F.lit(base), -j.cast("double") / max(half - 1, 1))
+    value = lambda i: F.when(i < half, F.sin(angle(i))).when(i < 2 * half, F.cos(angle(i - half))).otherwise(0.0)
+    blank = F.lit(False) if padding is None else position == padding
+    return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.when(blank, 0.0).otherwise(value(i)))
+
+
 def rotate_by_position(v: Column, position: Column, base: float = 10_000.0) -> Column:
-    """Each pair of neighbours turned by an angle that falls with its index and grows with the position."""
+    """Element ``i`` of the first half and its counterpart in the second turned by an angle that falls with ``i`` and grows with the position."""
     x = as_doubles(v)
-    d = F.size(v)
+    half = F.floor(F.size(v) / 2).cast("int")
 
     def turned(value: Column, i: Column) -> Column:
-        angle = position.cast("double") / F.pow(F.lit(base), (i - i % 2).cast("double") / d)
-        other = F.when(i % 2 == 0, -F.get(x, i + 1)).otherwise(F.get(x, i - 1))
+        angle = position.cast("double") * F.pow(F.lit(base), -(i % half).cast("double") / half)
+        other = F.when(i < half, -F.get(x, i + half)).otherwise(F.get(x, i - half))
         return value * F.cos(angle) + other * F.sin(angle)
 
     return F.transform(x, turned)

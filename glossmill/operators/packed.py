@@ -26,8 +26,9 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Fixed values of the notation.
 MARKS = "-+:.()。？！"
@@ -223,3 +224,15 @@ def split_packed(df: DataFrame, key: str, fields: Sequence[str], dictionary: Dic
     out = df.select(F.col(key), *[F.col(f).cast("string") for f in names]).mapInArrow(run, f"field int, key {kind}, pos int, item string")
     label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("field") + 1)
     return out.select(label.alias("field"), F.col("key").alias(key), "pos", "item")
+
+
+def values_column(field: Column, dictionary: Dictionary | None = None) -> Column:
+    """The values of a field as an array in the row; null of null."""
+    known = dictionary or Dictionary()
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def run(a: pa.Array) -> pa.Array:
+        automaton = known.automaton()
+        return pa.array([None if s is None else split_field(s, automaton, known.unquoted) for s in a.to_pylist()], pa.list_(pa.string()))
+
+    return run(field)

@@ -55,8 +55,31 @@ def shuffled_rank(key: Column, epoch: int, seed: int = 0) -> Column:
 
 
 def positions(df: DataFrame, key: str, *order: str) -> DataFrame:
-    """``df`` with ``pos``, from 0 in each key."""
-    return df.withColumn("pos", F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1)
+    """``df`` with ``pos``, from 0 in each key.
+
+    The rows are numbered in their total order and each key's first number is
+    taken off, so a key that holds most rows is spread over many tasks.
+    """
+    indexed = global_index(df, key, *order, name="_idx")
+    first = indexed.groupBy(key).agg(F.min("_idx").alias("_first"))
+    out = indexed.join(first, indexed[key].eqNullSafe(first[key])).drop(first[key])
+    return out.withColumn("pos", F.col("_idx") - F.col("_first")).drop("_idx", "_first")
+
+
+#: Positions of a key that one window task holds at most, beside the neighbours.
+SLICE = 4096
+
+
+def sliced(df: DataFrame, reach: int) -> DataFrame:
+    """``df`` with ``_slice`` and ``_own``: each row in its slice of positions, and as a neighbour in the slices it is within ``reach`` of."""
+    b, at = F.floor(F.col("pos") / SLICE), F.col("pos") % SLICE
+    none = F.array().cast("array<bigint>")
+    copies = F.concat(F.array(b), F.when((at < reach) & (b > 0), F.array(b - 1)).otherwise(none), F.when(at >= SLICE - reach, F.array(b + 1)).otherwise(none))
+    return df.select("*", F.explode(copies).alias("_slice")).withColumn("_own", F.col("_slice") == F.floor(F.col("pos") / SLICE))
+
+
+def near(key: str, reach: int):
+    return Window.partitionBy(key, "_slice").orderBy("pos").rowsBetween(-reach, reach)
 
 
 def downsampled(df: DataFrame, key: str, value: str, valid: str = "valid") -> DataFrame:
@@ -65,51 +88,79 @@ def downsampled(df: DataFrame, key: str, value: str, valid: str = "valid") -> Da
     Missing neighbours count as zeros in a divisor of always 3. A pooled
     position is valid if one of its neighbours is, and the first always.
     """
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(-1, 1)
-    pooled = df.select(
-        key, "pos",
+    w = near(key, 1)
+    pooled = sliced(df, 1).select(
+        key, "pos", "_own",
         (F.coalesce(F.sum(value).over(w), F.lit(0.0)) / 3).alias("pooled"),
         ((F.col("pos") == 0) | F.max(F.col(valid)).over(w)).alias("valid"),
     )
-    return pooled.where("pos % 2 = 0").withColumn("pos", (F.col("pos") / 2).cast("int"))
+    return pooled.where("_own and pos % 2 = 0").drop("_own").withColumn("pos", (F.col("pos") / 2).cast("int"))
 
 
 def local_mean(df: DataFrame, key: str, value: str, reach: int = 3) -> DataFrame:
     """The mean of the values up to ``reach`` positions away; invalid ones do not count, the own one always does."""
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(-reach, reach)
+    w = near(key, reach)
     others = F.sum(F.when(F.col("valid"), F.col(value)).otherwise(0.0)).over(w) + F.when(F.col("valid"), 0.0).otherwise(F.col(value))
     n = F.sum(F.col("valid").cast("int")).over(w) + (~F.col("valid")).cast("int")
-    return df.select(key, "pos", (others / n).alias("mean"), n.alias("n"))
+    return sliced(df, reach).select(key, "pos", "_own", (others / n).alias("mean"), n.alias("n")).where("_own").drop("_own")
 
 
 def local_attention(df: DataFrame, key: str, query: str, value: str, reach: int = 3) -> DataFrame:
     """Softmax attention of each position over its neighbours: weights from the products of ``query`` values."""
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(-reach, reach)
-    near = df.withColumn("_n", F.collect_list(F.struct(F.col("pos").alias("p"), F.col(query).alias("q"), F.col(value).alias("x"), F.col("valid").alias("ok"))).over(w))
+    entry = F.struct(F.col("pos").alias("p"), F.col(query).alias("q"), F.col(value).alias("x"), F.col("valid").alias("ok"))
+    held = sliced(df, reach).withColumn("_n", F.collect_list(entry).over(near(key, reach))).where("_own")
     used = F.filter("_n", lambda e: e["ok"] | (e["p"] == F.col("pos")))
-    logit = F.transform(used, lambda e: struct_of(e["q"] * F.col(query), e["x"]))
+    logit = F.transform(used, lambda e: _pair(e["q"] * F.col(query), e["x"]))
     top = F.array_max(F.transform(logit, lambda e: e["a"]))
-    weights = F.transform(logit, lambda e: struct_of(F.exp(e["a"] - top), e["x"]))
+    weights = F.transform(logit, lambda e: _pair(F.exp(e["a"] - top), e["x"]))
     total = F.aggregate(weights, F.lit(0.0), lambda s, e: s + e["a"])
     mixed = F.aggregate(weights, F.lit(0.0), lambda s, e: s + e["a"] * e["x"])
-    return near.select(key, "pos", (mixed / total).alias("mixed"))
+    return held.select(key, "pos", (mixed / total).alias("mixed"))
 
 
-def struct_of(a: Column, x: Column) -> Column:
+def _pair(a: Column, x: Column) -> Column:
     return F.struct(a.cast("double").alias("a"), x.cast("double").alias("x"))
 
 
+def running(df: DataFrame, key: str, value: Column) -> DataFrame:
+    """``df`` with ``total``, the sum of ``value`` up to each position of its key.
+
+    Sums run within slices; the totals of the slices, one row for each, run
+    over the key.
+    """
+    cut = df.withColumn("_v", value).withColumn("_slice", F.floor(F.col("pos") / SLICE))
+    per = cut.groupBy(key, "_slice").agg(F.sum("_v").alias("_s"))
+    before = per.select(key, "_slice", F.sum("_s").over(Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    inner = cut.withColumn("_t", F.sum("_v").over(Window.partitionBy(key, "_slice").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)))
+    joined = inner.alias("i").join(before.alias("b"), F.col(f"i.{key}").eqNullSafe(F.col(f"b.{key}")) & (F.col("i._slice") == F.col("b._slice")))
+    return joined.select(*[F.col(f"i.{c}").alias(c) for c in df.columns], (F.col("_t") + F.coalesce("_before", F.lit(0))).alias("total"))
+
+
 def causal_sum(df: DataFrame, key: str, value: str) -> DataFrame:
     """The sum of all values up to each position."""
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return df.select(key, "pos", F.sum(value).over(w).alias("total"))
+    return running(df, key, F.col(value)).select(key, "pos", "total")
 
 
 def position_ids(df: DataFrame, key: str, is_pad: Column, pad_id: int = 1) -> DataFrame:
     """Running count of the rows that are no padding, after ``pad_id``; padding keeps ``pad_id``."""
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    running = F.sum((~is_pad).cast("int")).over(w)
-    return df.select(key, "pos", F.when(is_pad, pad_id).otherwise(running + pad_id).cast("int").alias("position_id"))
+    pad = df.withColumn("_pad", is_pad)
+    return running(pad, key, (~F.col("_pad")).cast("int")).select(key, "pos", F.when(F.col("_pad"), pad_id).otherwise(F.col("total") + pad_id).cast("int").alias("position_id"))
+
+
+def _ordered(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """``df`` sorted by range over partitions, as a table with ``_part`` and ``_at``, the place in the partition."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    run = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    return materialize(run.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "ordered")
+
+
+def _before(sizes: dict[int, int]) -> Column:
+    """What lies before each partition, as a column over ``_part``."""
+    starts, total = [], 0
+    for p in range(max(sizes, default=-1) + 1):
+        starts.append(total)
+        total += sizes.get(p) or 0
+    return F.element_at(F.array(*[F.lit(s).cast("bigint") for s in starts or [0]]), F.col("_part") + 1)
 
 
 def global_index(df: DataFrame, *order: str, name: str = "idx") -> DataFrame:
@@ -118,16 +169,17 @@ def global_index(df: DataFrame, *order: str, name: str = "idx") -> DataFrame:
     Rows are sorted by range; each partition counts its own rows, and only
     those counts, one per partition, go through the driver.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    run = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    run = materialize(run.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "ordered")
+    run = _ordered(df, order)
     sizes = {r[0]: r[1] for r in run.groupBy("_part").count().collect()}
-    starts, total = [], 0
-    for p in range(max(sizes, default=-1) + 1):
-        starts.append(total)
-        total += sizes.get(p, 0)
-    offset = F.element_at(F.array(*[F.lit(s).cast("bigint") for s in starts or [0]]), F.col("_part") + 1)
-    return run.withColumn(name, offset + F.col("_at")).drop("_part", "_at")
+    return run.withColumn(name, _before(sizes) + F.col("_at")).drop("_part", "_at")
+
+
+def prefix_offsets(df: DataFrame, size: str, *order: str) -> DataFrame:
+    """``df`` with ``start`` and ``end``: running totals of ``size`` in the total order; null sizes count 0."""
+    run = _ordered(df.withColumn(size, F.coalesce(size, F.lit(0)).cast("bigint")), order)
+    sums = {r[0]: r[1] for r in run.groupBy("_part").agg(F.sum(size)).collect()}
+    inner = F.sum(size).over(Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+    return run.withColumn("end", _before(sums) + inner).withColumn("start", F.col("end") - F.col(size)).drop("_part", "_at")
 
 
 def concatenated(members: list[tuple[str, DataFrame]], key: str) -> DataFrame:
