@@ -221,7 +221,7 @@ def collate(batched: DataFrame, *columns: str) -> DataFrame:
     """One row per batch with a list of each column, in slot order; rows where all of them are null are left out."""
     kept = batched.dropna("all", subset=list(columns))
     lists = kept.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("slot", *columns))).alias("_rows"))
-    return lists.select("batch_id", *[F.transform("_rows", lambda r, c=c: r[c]).alias(c) for c in columns])
+    return lists.select("batch_id", *[F.col(f"_rows.{c}").alias(c) for c in columns])
 
 
 def padded(values: Column, length: Column, fill=0) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("packed", "evaluation")
+MODULES = ("packed", "corpus", "sequences", "evaluation", "control")
 
 
 def collect() -> tuple[dict, dict]:

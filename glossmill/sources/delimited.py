@@ -11,14 +11,19 @@ CORPUS_B = "name string, translation string, orth string"
 SPLITS = "name string, split string"
 
 
-def read_delimited(spark: SparkSession, path: str | list[str], schema: str, sep: str) -> DataFrame:
-    """One or several delimited files with a header. Fields may hold the separator, quotes and line ends if quoted."""
-    return spark.read.schema(schema).option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", True).option("nullValue", "").option("emptyValue", '""').csv(path)
+#: What stands for null in files written here; a string of these two characters is read back as null.
+NULL = "\\N"
+_EXACT = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+
+
+def read_delimited(spark: SparkSession, path: str | list[str], schema: str, sep: str, null: str = NULL) -> DataFrame:
+    """One or several delimited files with a header. Fields may hold the separator, quotes and line ends if quoted; white space is kept."""
+    return spark.read.schema(schema).options(**_EXACT, sep=sep, multiLine=True, nullValue=null).csv(path)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str, mode: str = "error") -> None:
-    """Delimited files with a header; every string is quoted, so null and empty differ."""
-    df.write.mode(mode).option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').option("quoteAll", True).option("nullValue", None).option("emptyValue", "").csv(path)
+    """Delimited files with a header; every string is quoted, and null and empty differ."""
+    df.write.mode(mode).options(**_EXACT, sep=sep, quoteAll=True, nullValue=NULL).csv(path)
 
 
 def read_dictionary(spark: SparkSession, path: str, key: str, value: str, value_type: str = "int") -> DataFrame:
