@@ -17,17 +17,17 @@ def fingerprint(col: str | Column, name: str) -> list[Column]:
 def lookalike_pairs(forms: DataFrame) -> DataFrame:
     """``(corpus, rec_a, rec_b)``, ``rec_a < rec_b``, of ``forms (corpus, rec_id, raw, form)``.
 
-    Rows with a null or blank text or form are no case; exact copies make no
-    pair with each other. Only keys with two spellings at least leave the first
+    Rows with a null id, text or form or a blank form are no case; exact copies
+    make no pair with each other, and repeated rows make a pair once. Only keys with two spellings at least leave the first
     aggregation, which combines copies before the shuffle; spellings are paired
     first and then joined to their records, so a group of many copies and few
     other spellings costs what its result has, never its square.
     """
-    kept = forms.where("raw is not null and form is not null and form <> ''")
+    kept = forms.where("rec_id is not null and raw is not null and form is not null and form <> ''")
     rows = materialize(kept.select("corpus", "rec_id", *fingerprint("form", "k"), *fingerprint("raw", "v")), "forms")
     key = ["corpus", "k1", "k2"]
     several = rows.groupBy(*key).agg(F.min(F.struct("v1", "v2")).alias("lo"), F.max(F.struct("v1", "v2")).alias("hi")).where("lo <> hi").select(*key)
-    members = rows.join(several, key, "left_semi")
+    members = rows.join(several, key, "left_semi").distinct()
     spellings = members.select(*key, "v1", "v2").distinct()
     x, y = spellings.alias("x"), spellings.alias("y")
     same = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in key]
@@ -36,4 +36,4 @@ def lookalike_pairs(forms: DataFrame) -> DataFrame:
     m = members.select(*key, F.struct("v1", "v2").alias("v"), "rec_id")
     first = pairs.join(m.withColumnsRenamed({"v": "vx", "rec_id": "rec_x"}), [*key, "vx"]).drop("vx")
     both = first.join(m.withColumnsRenamed({"v": "vy", "rec_id": "rec_y"}), [*key, "vy"])
-    return both.select("corpus", F.least("rec_x", "rec_y").alias("rec_a"), F.greatest("rec_x", "rec_y").alias("rec_b"))
+    return both.where("rec_x <> rec_y").select("corpus", F.least("rec_x", "rec_y").alias("rec_a"), F.greatest("rec_x", "rec_y").alias("rec_b")).distinct()

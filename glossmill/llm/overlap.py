@@ -252,11 +252,12 @@ def cross_split_pairs(forms: DataFrame, unit_of: dict[str, str]) -> DataFrame:
     """``(corpus, rec_a, rec_b, rec_eval, split, source, edits, n_units)``: all pairs of a train and a dev or test record within two edits.
 
     ``forms (corpus, rec_id, split, source, form)`` has texts in their plain
-    form; ``unit_of`` names the unit of each corpus. Rows with another split,
-    with a null text or with none but white space and punctuation make no pair.
-    Each distinct text is compared once; its copies are joined to the result.
+    form; ``unit_of`` names the unit of each corpus. Rows with another split, of
+    another corpus, with a null id or text or with none but white space and
+    punctuation make no pair; repeated rows make a pair once. Each distinct text
+    is compared once; its copies are joined to the result.
     """
-    kept = forms.where(F.col("split").isin("train", "dev", "test"))
+    kept = forms.where(F.col("split").isin("train", "dev", "test") & F.col("rec_id").isNotNull())
     text = F.coalesce(*[F.when(F.col("corpus") == c, units_column(F.col("form"), u)) for c, u in unit_of.items()])
     rows = kept.select("corpus", "rec_id", "split", "source", text.alias("text")).where("text is not null")
     rows = materialize(rows.select("*", *fingerprint("text", "h")), "units")
@@ -270,8 +271,8 @@ def cross_split_pairs(forms: DataFrame, unit_of: dict[str, str]) -> DataFrame:
     e = rows.where("split <> 'train'").select(*key, F.col("rec_id").alias("rec_eval"), "split", "source")
     t = rows.where("split = 'train'").select("corpus", F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.col("rec_id").alias("rec_train"))
     keyed = found.join(ids.withColumnRenamed("tid", "tid_e"), "tid_e").join(ids.select(F.col("tid").alias("tid_t"), F.col("h1").alias("t1"), F.col("h2").alias("t2")), "tid_t")
-    pairs = keyed.join(e, key).join(t, ["corpus", "t1", "t2"])
-    return pairs.select("corpus", F.least("rec_eval", "rec_train").alias("rec_a"), F.greatest("rec_eval", "rec_train").alias("rec_b"), "rec_eval", "split", "source", "edits", "n_units")
+    pairs = keyed.join(e, key).join(t, ["corpus", "t1", "t2"]).where("rec_eval <> rec_train")
+    return pairs.select("corpus", F.least("rec_eval", "rec_train").alias("rec_a"), F.greatest("rec_eval", "rec_train").alias("rec_b"), "rec_eval", "split", "source", "edits", "n_units").distinct()
 
 
 def overlap_report(forms: DataFrame, unit_of: dict[str, str]) -> DataFrame:
