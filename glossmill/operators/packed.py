@@ -1,8 +1,9 @@
 """Several values packed in one field: one row per value, with its position.
 
 A field is read from left to right. One pair of brackets around the whole
-field is taken off. A quote that opens at the start of a value encloses it;
-inside, a quote is doubled or has a backslash before it. Outside quotes a
+field is taken off. A quote that opens at the start of a value (not right
+behind a character of one) encloses it; inside, a quote is doubled or has a
+backslash before it. Outside quotes a
 value is a run of letters, digits, raised digits and the marks
 ``- + : . ( ) 。 ？ ！``; anything else separates. Empty and blank values take
 no position.
@@ -35,16 +36,16 @@ MARKS = "-+:.()。？！"
 BRACKETS = {"[": "]", "(": ")", "{": "}", "（": "）", "【": "】"}
 
 _RUN = r"[\p{L}\p{M}\p{Nd}⁰¹²³⁴⁵⁶⁷⁸⁹" + regex.escape(MARKS) + "]"
-_TOKEN = regex.compile(rf"""({_RUN}++)|"((?:[^"\\]|\\.|"")*+)"|'((?:[^'\\]|\\.|'')*+)'""", regex.S)
+_TOKEN = regex.compile(rf"""({_RUN}++)|(?<!{_RUN})"((?:[^"\\]|\\.|"")*+)"|(?<!{_RUN})'((?:[^'\\]|\\.|'')*+)'""", regex.S)
 _SCAN = regex.compile(_TOKEN.pattern + "|([\"'])", regex.S)
-_PLAIN = regex.compile(rf"""(?:[^"']++|"(?:{_RUN}*+)"(?!")|'(?:{_RUN}*+)'(?!'))*+""", regex.S)
+_PLAIN = regex.compile(rf"""(?:[^"']++|(?<!{_RUN})"(?:{_RUN}*+)"(?!")|(?<!{_RUN})'(?:{_RUN}*+)'(?!'))*+""", regex.S)
 _EASY = regex.compile(rf"{_RUN}++")
 _SEPARATORS = regex.compile(rf"""[^\p{{L}}\p{{M}}\p{{Nd}}⁰¹²³⁴⁵⁶⁷⁸⁹{regex.escape(MARKS)}"']++""")
 _UNESCAPE = {q: regex.compile(rf"\\(.)|{q}{q}", regex.S) for q in "\"'"}
 
 #: Java pattern of quoted values, for the dictionary.
-_QUOTED_JAVA = r""""((?:[^"\\]|\\.|"")*+)"|'((?:[^'\\]|\\.|'')*+)'"""
 _RUN_JAVA = r"[\p{L}\p{M}\p{Nd}⁰¹²³⁴⁵⁶⁷⁸⁹\-+:.()。？！]"
+_QUOTED_JAVA = rf"""(?<!{_RUN_JAVA})(?:"((?:[^"\\]|\\.|"")*+)"|'((?:[^'\\]|\\.|'')*+)')"""
 
 STRAY, PIECE, KNOWN = 1000, 10, 9
 
@@ -136,7 +137,7 @@ def cover(s: str, automaton: ahocorasick.Automaton | None) -> list[str]:
             m = _EASY.match(s, i)
             edges.append((m.end(), PIECE, m[0]))
         starts = i == 0 or not _EASY.match(s, i - 1, i)
-        for end, value in hits.get(i, ()) if starts or s[i] in "\"'" else ():
+        for end, value in hits.get(i, ()) if starts else ():
             if s[i] in "\"'" or end == n or not _EASY.match(s, end, end + 1):
                 edges.append((end, KNOWN, value))
         if s[i] in "\"'" and edges[0][1] != STRAY and i in hits:

@@ -14,7 +14,7 @@ def plain_reading(field):
     out, i = [], 0
     while i < len(s):
         c = s[i]
-        if c in "\"'":
+        if c in "\"'" and not (i and VALUE.match(s[i - 1])):
             body, j = "", i + 1
             while j < len(s):
                 if s[j] == "\\" and j + 1 < len(s):
@@ -58,6 +58,7 @@ CASES = {
     "\"GEHT'S\" A": ["GEHT'S", "A"],
     '|n|""|" "|d||': ["n", "d"],
     "'a, b": ["a", "b"],
+    "GEHT'S WIND 'A B'": ["GEHT", "S", "WIND", "A B"],
     "3/4 m² loc-NORD WIE+IMMER cl:X 10.5 你。": ["3", "4", "m²", "loc-NORD", "WIE+IMMER", "cl:X", "10.5", "你。"],
 }
 
