@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 
@@ -16,6 +17,11 @@ def word_codes(*flat: pa.Array) -> np.ndarray:
     return pa.concat_arrays([f.cast(pa.string()) for f in flat]).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number per distinct key, by hashing, and the distinct keys."""
+    return pd.factorize(keys)
+
+
 def overlaps(codes: np.ndarray, sizes: np.ndarray, rows: int, ref_row: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(common, hypothesis, reference)`` counts of n-grams for each row and n up to ``order``.
 
@@ -24,30 +30,35 @@ def overlaps(codes: np.ndarray, sizes: np.ndarray, rows: int, ref_row: np.ndarra
     holds. An n-gram is a number made of the shorter one's and its last unit's.
     """
     seq = np.repeat(np.arange(len(sizes)), sizes)
-    ends = np.cumsum(sizes)
-    left = np.repeat(ends, sizes) - np.arange(len(codes))
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes))
     owner = np.r_[np.arange(rows), ref_row].astype(np.int64)
+    one_each = len(np.unique(ref_row)) == len(ref_row)
     common, hyp, ref = (np.zeros((rows, order), np.int64) for _ in range(3))
-    width = int(codes.max()) + 1 if len(codes) else 1
-    gram = codes.copy()
+    gram, distinct = _numbered(codes)
+    units, width = gram, max(1, len(distinct))
     for n in range(1, order + 1):
         if n > 1:
-            gram = gram[:-1] * width + codes[n - 1 :] if len(gram) > 1 else gram[:0]
-        if len(gram):
-            distinct, gram = np.unique(gram, return_inverse=True)
-            span = len(distinct)
-            ok = left[: len(gram)] >= n
-            key, count = np.unique(seq[: len(gram)][ok] * span + gram[ok], return_counts=True)
-            s, g = key // span, key % span
-            of = s < rows
-            hk, hc = s[of] * span + g[of], count[of]
-            rk, rc = owner[s[~of]] * span + g[~of], count[~of]
-            if len(rk):
-                by = np.argsort(rk, kind="stable")
-                rk, starts = np.unique(rk[by], return_index=True)
-                rc = np.maximum.reduceat(rc[by], starts)
-                at = np.minimum(np.searchsorted(rk, hk), len(rk) - 1)
-                common[:, n - 1] = np.bincount(hk // span, np.where(rk[at] == hk, np.minimum(hc, rc[at]), 0), rows)
-                ref[:, n - 1] = np.bincount(rk // span, rc, rows)
-            hyp[:, n - 1] = np.bincount(hk // span, hc, rows)
+            gram, distinct = _numbered(gram[:-1] * width + units[n - 1 :] if len(gram) > 1 else gram[:0])
+        if not len(gram):
+            break
+        span = len(distinct)
+        ok = left[: len(gram)] >= n
+        s, g = seq[: len(gram)][ok], gram[ok]
+        is_ref = s >= rows
+        split = int(len(s) - is_ref.sum())  # hypotheses come first
+        if one_each:
+            number, keys = _numbered(owner[s] * span + g)
+            of_ref = np.bincount(number[split:], minlength=len(keys))
+        else:
+            number, keys = _numbered(np.r_[s[:split] * span + g[:split], owner[s[split:]] * span + g[split:]])
+            per, apart = _numbered(s[split:] * span + g[split:])
+            counts = np.bincount(per, minlength=len(apart))
+            of_ref = np.zeros(len(keys), np.int64)
+            first = np.zeros(len(apart), np.int64)
+            first[per] = number[split:]
+            np.maximum.at(of_ref, first, counts)
+        of_hyp = np.bincount(number[:split], minlength=len(keys))
+        at = keys // span
+        for out, x in ((common, np.minimum(of_hyp, of_ref)), (hyp, of_hyp), (ref, of_ref)):
+            out[:, n - 1] = np.bincount(at, x, rows)
     return common, hyp, ref

@@ -11,7 +11,7 @@ from glossmill.functions import text
 from glossmill.operators import relations, vocab
 from glossmill.operators.packed import values_column
 from glossmill.plans.packed import ORACLES as PACKED
-from glossmill.session import shared_dir, table
+from glossmill.session import shared_dir, spread, table
 from glossmill.sources import delimited, frames
 
 #: Tags of content words in label_postag.
@@ -89,7 +89,7 @@ def lookup_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pos_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "corpus_a").where("label_word is not null and label_postag is not null")
+    a = spread(table(spark, sf_dir, "corpus_a").where("label_word is not null and label_postag is not null").select("rec_id", "label_word", "label_postag"))
     both = a.select("rec_id", values_column(F.col("label_word")).alias("w"), values_column(F.col("label_postag")).alias("t"))
     kept = vocab.content_words(F.when((F.size("w") > 0) & (F.size("t") > 0), vocab.tagged(F.col("w"), F.col("t"))).otherwise(F.array().cast("array<struct<text:string,pos:string>>")), CONTENT_TAGS)
     return both.select("rec_id", F.array_join(kept, " ").alias("words"))

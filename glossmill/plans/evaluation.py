@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from glossmill.functions import text
 from glossmill.operators import bleu, chrf, relations, rouge
 from glossmill.operators.packed import values_column
-from glossmill.session import table
+from glossmill.session import spread, table
 from glossmill.streaming import metrics
 
 _NO_GLOSS = r"[^\p{L}\p{Nd}+:.\-]+"
@@ -23,6 +23,10 @@ def _glosses(c: Column) -> Column:
     return F.lower(F.regexp_replace(c, _NO_GLOSS, " "))
 
 
+def _corpus_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "corpus_b").select("rec_id", "split", "orth", "translation"))
+
+
 def _both(df: DataFrame) -> DataFrame:
     return df.where("orth is not null and translation is not null")
 
@@ -35,7 +39,7 @@ def word_pairs(df: DataFrame, swapped: bool = False) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, sf_dir: str, swapped: bool = False) -> DataFrame:
-    return word_pairs(table(spark, sf_dir, "corpus_b"), swapped)
+    return word_pairs(_corpus_b(spark, sf_dir), swapped)
 
 
 def bleu_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +60,7 @@ def bleu_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bleu_multiref(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _both(table(spark, sf_dir, "corpus_b"))
+    df = _both(_corpus_b(spark, sf_dir))
     bare = text.words(F.regexp_replace("translation", "[,.!]", " "))
     pairs = df.select("split", text.words(_glosses(F.col("orth"))).alias("hyp"), F.array(text.words(F.col("translation")), bare).alias("refs"))
     return bleu.bleu(pairs, ["split"])
@@ -78,13 +82,13 @@ def bleu_smooth_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bleu_tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus BLEU with the tokenizer and smoothing that are the usual defaults."""
-    df = _both(table(spark, sf_dir, "corpus_b"))
+    df = _both(_corpus_b(spark, sf_dir))
     pairs = df.select(text.words(text.tokenize_13a(_glosses(F.col("orth")))).alias("hyp"), F.array(text.words(text.tokenize_13a(F.col("translation")))).alias("refs"))
     return bleu.bleu(pairs, smooth="exp")
 
 
 def bleu_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "corpus_a").where("label_word is not null and label_char is not null")
+    a = spread(table(spark, sf_dir, "corpus_a").select("split", "label_word", "label_char").where("label_word is not null and label_char is not null"))
     joined = lambda c: text.characters(text.delete_spaces(F.array_join(values_column(F.col(c)), "")))
     return bleu.bleu(a.select("split", joined("label_word").alias("hyp"), F.array(joined("label_char")).alias("refs")), ["split"])
 
@@ -101,24 +105,24 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = table(spark, sf_dir, "corpus_b").select(text.words(F.col("translation")).alias("w"))
+    w = _corpus_b(spark, sf_dir).select(text.words(F.col("translation")).alias("w"))
     n_of = lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.struct(F.lit(n).alias("n"), F.array_join(F.slice("w", i, n), " ").alias("gram")))).otherwise(F.array())
     each = w.select(F.explode(F.concat(*[n_of(n) for n in (1, 2, 3, 4)])).alias("g"))
     return each.groupBy("g.n", "g.gram").agg(F.count("*").alias("cnt"))
 
 
 def chrf_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "corpus_b").withColumn("hyp", _glosses(F.col("orth")))
+    df = _corpus_b(spark, sf_dir).withColumn("hyp", _glosses(F.col("orth")))
     return chrf.chrf(df, "hyp", "translation")
 
 
 def chrf_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "corpus_b").withColumn("hyp", _glosses(F.col("orth")))
+    df = _corpus_b(spark, sf_dir).withColumn("hyp", _glosses(F.col("orth")))
     return chrf.chrf(df, "hyp", "translation", ["rec_id"])
 
 
 def _rouge_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _both(table(spark, sf_dir, "corpus_b"))
+    df = _both(_corpus_b(spark, sf_dir))
     return df.select("rec_id", "split", _glosses(F.col("orth")).alias("hyp"), F.array("translation").alias("refs"))
 
 
@@ -131,27 +135,27 @@ def rouge_l_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bag_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _both(table(spark, sf_dir, "corpus_b"))
+    df = _both(_corpus_b(spark, sf_dir))
     return df.select("rec_id", relations.bag_overlap(text.words(_glosses(F.col("orth"))), text.words(F.col("translation"))).alias("common"))
 
 
 def bag_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of the dev sentences that the train sentences hold as often."""
-    b = table(spark, sf_dir, "corpus_b")
+    b = _corpus_b(spark, sf_dir)
     w = lambda split: b.where(F.col("split") == split).select(F.explode(text.words(F.col("translation"))).alias("word"))
     return relations.bag_intersection(w("dev"), w("train")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def tokenize_13a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.tokenize_13a(F.col("text")).alias("tokens"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", text.tokenize_13a(F.col("text")).alias("tokens"))
 
 
 def tokenize_intl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "corpus_b").select("rec_id", text.tokenize_intl(F.col("translation")).alias("tokens"))
+    return _corpus_b(spark, sf_dir).select("rec_id", text.tokenize_intl(F.col("translation")).alias("tokens"))
 
 
 def tokenize_zh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").where("lang = 'zh'").select("doc_id", text.tokenize_zh(F.col("text")).alias("tokens"))
+    return spread(table(spark, sf_dir, "documents").where("lang = 'zh'").select("doc_id", "text")).select("doc_id", text.tokenize_zh(F.col("text")).alias("tokens"))
 
 
 def split_characters(spark: SparkSession, sf_dir: str) -> DataFrame:

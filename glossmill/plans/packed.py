@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from glossmill.operators.packed import learn_dictionary, split_packed
-from glossmill.session import table
+from glossmill.session import spread, table
 
 FIELDS_A = ("label_gloss", "label_word", "label_postag")
 
@@ -13,7 +13,7 @@ FIELDS_A = ("label_gloss", "label_word", "label_postag")
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = table(spark, sf_dir, "corpus_a"), table(spark, sf_dir, "corpus_b")
     known_a, known_b = learn_dictionary(a, FIELDS_A), learn_dictionary(b, ["orth"])
-    return split_packed(a, "rec_id", FIELDS_A, known_a).unionByName(split_packed(b, "rec_id", ["orth"], known_b))
+    return split_packed(spread(a.select("rec_id", *FIELDS_A)), "rec_id", FIELDS_A, known_a).unionByName(split_packed(spread(b.select("rec_id", "orth")), "rec_id", ["orth"], known_b))
 
 
 QUERIES = {"p3_found": p3_found}
