@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.llm import chunking, identity, lookalike, mixing, overlap, packing, terms, tokens
-from glossmill.session import materialize, table
+from glossmill.session import materialize, spread, table
 
 
 def _terms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,8 +27,9 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forms(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """``(corpus, rec_id, raw, form, more...)`` of the sentences of both corpora."""
     a, b = table(spark, sf_dir, "corpus_a"), table(spark, sf_dir, "corpus_b")
-    a = a.where("label_char is not null").select(F.lit("a").alias("corpus"), "rec_id", *more, lookalike.joined_column(F.col("label_char")).alias("raw"), lookalike.plain_column(spark, F.col("label_char"), literal=True).alias("form"))
-    b = b.where("translation is not null").select(F.lit("b").alias("corpus"), "rec_id", *more, F.col("translation").alias("raw"), lookalike.plain_column(spark, F.col("translation")).alias("form"))
+    a, b = spread(a.where("label_char is not null").select("rec_id", *more, "label_char")), spread(b.where("translation is not null").select("rec_id", *more, "translation"))
+    a = a.select(F.lit("a").alias("corpus"), "rec_id", *more, lookalike.joined_column(F.col("label_char")).alias("raw"), lookalike.plain_column(spark, F.col("label_char"), literal=True).alias("form"))
+    b = b.select(F.lit("b").alias("corpus"), "rec_id", *more, F.col("translation").alias("raw"), lookalike.plain_column(spark, F.col("translation")).alias("form"))
     return a.unionByName(b)
 
 
@@ -56,8 +57,12 @@ def limits(spark: SparkSession, sf_dir: str, kind: str) -> list:
     return sorted(r for r in table(spark, sf_dir, "token_limits").collect() if r.limit_name.startswith(kind))
 
 
+def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select(*columns))
+
+
 def p5_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = table(spark, sf_dir, "documents").select("doc_id", tokens.count_column(F.col("text"), tokens.vocabulary(spark)).alias("n_tokens"))
+    counted = _documents(spark, sf_dir, "doc_id", "text").select("doc_id", tokens.count_column(F.col("text"), tokens.vocabulary(spark)).alias("n_tokens"))
     counted = materialize(counted, "tokens")
     parts = [packing.pack(counted, "doc_id", "n_tokens", r.max_tokens).select(F.lit(r.limit_name).alias("limit_name"), "*") for r in limits(spark, sf_dir, "container")]
     return reduce(DataFrame.unionByName, parts)
@@ -71,7 +76,7 @@ def p5_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = mixing.Targets.of(table(spark, sf_dir, "mix_targets").select("source", "target_share", "max_repeats").collect())
-    return mixing.mix_sources(table(spark, sf_dir, "documents"), "doc_id", "source", "text", targets, tokens.vocabulary(spark))
+    return mixing.mix_sources(_documents(spark, sf_dir, "doc_id", "source", "text"), "doc_id", "source", "text", targets, tokens.vocabulary(spark))
 
 
 def p6_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +84,7 @@ def p6_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pieces(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir, "doc_id", "text")
     parts = [
         chunking.split_oversized(docs, "doc_id", "text", r.max_tokens, r.overlap_tokens, tokens.vocabulary(spark)).select(F.lit(r.limit_name).alias("limit_name"), "*")
         for r in limits(spark, sf_dir, "piece")
