@@ -168,14 +168,15 @@ def split_field(field: str, automaton: ahocorasick.Automaton | None = None, unqu
     return [v for a, b, c in _TOKEN.findall(s) if (v := a or b or c)]
 
 
-def learn_dictionary(df: DataFrame, fields: Sequence[str], max_entries: int = 50_000) -> Dictionary:
+def learn_dictionary(df: DataFrame, fields: Sequence[str], max_entries: int = 50_000, max_length: int = 100) -> Dictionary:
     """Known whole values that hold separators: those that stand in quotes anywhere in the fields.
 
-    At most ``max_entries``, the most frequent first (ties by value), so what is
-    sent to the executors has a fixed bound. Values beyond it lose nothing: the
-    quotes that enclose them are read by the grammar.
+    At most ``max_entries`` of at most ``max_length`` characters, the most
+    frequent first (ties by value), so what is sent to the executors has a fixed
+    bound. Values beyond it lose nothing: the quotes that enclose them are read
+    by the grammar.
     """
-    raw = F.array_distinct(F.filter(F.flatten(F.array(*[F.coalesce(F.expr(f"regexp_extract_all({f}, r'{_quote_sql(_QUOTED_JAVA)}', 0)"), F.array()) for f in fields])), lambda x: ~x.rlike(rf"""^.{_RUN_JAVA}*.$""")))
+    raw = F.array_distinct(F.filter(F.flatten(F.array(*[F.coalesce(F.expr(f"regexp_extract_all({f}, r'{_quote_sql(_QUOTED_JAVA)}', 0)"), F.array()) for f in fields])), lambda x: (F.length(x) <= max_length + 2) & ~x.rlike(rf"""^.{_RUN_JAVA}*.$""")))
     rows = (
         df.where(" or ".join(f"contains({f}, '\"') or contains({f}, \"'\")" for f in fields)).select(F.explode(raw).alias("v"))
         .groupBy("v").count().orderBy(F.desc("count"), "v").limit(max_entries).collect()

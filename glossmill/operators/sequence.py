@@ -193,12 +193,18 @@ def concatenated(members: list[tuple[str, DataFrame]], key: str) -> DataFrame:
     return indexed.join(F.broadcast(first), "_m").select("idx", "member", (F.col("idx") - F.col("_first")).alias("local_idx"), key)
 
 
+#: Most members that positions are looked up in.
+MAX_MEMBERS = 100_000
+
+
 def locate(queries: DataFrame, sizes: DataFrame) -> DataFrame:
     """``(idx, member, local_idx)`` of ordinals into members laid end to end; negative ones count from the end, others out of range have nulls.
 
     ``sizes (member_no, member, size)`` has a row per member, not per element;
-    its running totals are the ranges of the join.
+    its running totals are the ranges of the join. Their number is checked.
     """
+    if sizes.limit(MAX_MEMBERS + 1).count() > MAX_MEMBERS:
+        raise ValueError(f"more than {MAX_MEMBERS} members")
     w = Window.orderBy("member_no")
     ends = sizes.withColumn("end", F.sum("size").over(w)).withColumn("start", F.col("end") - F.col("size"))
     total = ends.agg(F.max("end").alias("total"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossmill.operators.sequence import global_index
+
 #: Parts of speech whose words are pseudo-glosses.
 CONTENT_POS = ("NOUN", "NUM", "ADV", "PRON", "PROPN", "ADJ", "VERB")
 COMMON_RATIO = 0.4
@@ -18,12 +20,9 @@ def occurrences(df: DataFrame, lists: str) -> DataFrame:
 
 
 def dense_ids(df: DataFrame, value: str) -> DataFrame:
-    """``(<value>, id)``: ids from 0 in byte order of the distinct values.
-
-    The window has no partition, so this is for vocabularies; the distinct
-    values alone pass through it.
-    """
-    return df.where(F.col(value).isNotNull()).select(value).distinct().withColumn("id", F.row_number().over(Window.orderBy(value)) - 1)
+    """``(<value>, id)``: ids from 0 in byte order of the distinct values; null has none."""
+    distinct = df.where(F.col(value).isNotNull()).select(value).distinct()
+    return global_index(distinct, value, name="id").withColumn("id", F.col("id").cast("int"))
 
 
 def keep_last(df: DataFrame, key: str, order: Column) -> DataFrame:

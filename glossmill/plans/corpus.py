@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from glossmill.functions import text
 from glossmill.operators import relations, vocab
 from glossmill.operators.packed import values_column
-from glossmill.plans.packed import ORACLES as PACKED
+from glossmill.plans.packed import items_sql
 from glossmill.session import shared_dir, spread, table
 from glossmill.sources import delimited, frames
 
@@ -180,12 +180,14 @@ QUERIES = {
 
 _LITERAL = r"regexp_extract_all(label_char, '''((?:[^''\\]|\\.)*)''', 1)"
 _IS_LIST = "label_char IS NOT NULL AND trim(label_char) <> ''"
-_ITEMS = PACKED["p3_found"].rpartition("SELECT field, rec_id")[0]
+_ITEMS = items_sql([("corpus_a", "label_word"), ("corpus_a", "label_postag")])
 _KEPT = """counts AS (SELECT lemma, count(*) AS n FROM (SELECT unnest(lemmas) AS lemma FROM dict_sentence) WHERE lemma IS NOT NULL GROUP BY lemma),
 kept AS (SELECT lemma, n, n::DOUBLE / (SELECT count(DISTINCT sentence) FROM dict_sentence) AS ratio FROM counts)"""
 _TAGS = ", ".join(f"'{t}'" for t in CONTENT_TAGS)
 
 ORACLES = {
+    "sample_projection": """SELECT rec_id, CASE WHEN translation IS NULL THEN to_json({'rec_id': rec_id, 'file_name': name}) ELSE to_json({'rec_id': rec_id, 'sentence': translation, 'file_name': name}) END::VARCHAR AS sample,
+        len(string_split(orth, ' '))::INT AS n_glosses FROM corpus_b WHERE split = 'test'""",
     "literal_join": f"SELECT rec_id, CASE WHEN {_IS_LIST} THEN array_to_string({_LITERAL}, '') END AS sentence, CASE WHEN {_IS_LIST} THEN len({_LITERAL})::INT END AS n_signs FROM corpus_a",
     "split_filter": "SELECT rec_id, name, split FROM corpus_b WHERE split = 'dev'",
     "split_membership": "SELECT split, source, count(*) AS n FROM corpus_b WHERE split IN ('train', 'test') GROUP BY ALL",

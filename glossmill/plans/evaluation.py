@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from glossmill.functions import text
 from glossmill.operators import bleu, chrf, relations, rouge
 from glossmill.operators.packed import values_column
+from glossmill.plans.packed import items_sql
 from glossmill.session import spread, table
 from glossmill.streaming import metrics
 
@@ -256,7 +257,12 @@ scored AS (SELECT rec_id, split, CASE WHEN l = 0 THEN 0.0::DOUBLE ELSE (1 + 1.44
 
 _LITERAL = r"regexp_extract_all(label_char, '''((?:[^''\\]|\\.)*)''', 1)"
 
+_ITEMS = items_sql([("corpus_a", "label_word"), ("corpus_a", "label_char")])
+_ITEM_CHARS = "list_filter(string_split(regexp_replace(array_to_string({}.items, ''), '[\\s\\p{{Z}}]+', '', 'g'), ''), lambda x: x <> '')"
+
 ORACLES = {
+    "bleu_chars": bleu_sql(f"""SELECT a.rec_id AS seg, a.split AS g, {_ITEM_CHARS.format("w")} AS h, [{_ITEM_CHARS.format("c")}] AS refs FROM corpus_a a
+        JOIN ({_ITEMS} SELECT rec_id, items FROM kept WHERE field = 'label_word') w ON a.rec_id = w.rec_id JOIN ({_ITEMS} SELECT rec_id, items FROM kept WHERE field = 'label_char') c ON a.rec_id = c.rec_id""", "split"),
     "bleu_corpus": bleu_sql(_pairs_sql()),
     "bleu_corpus_swapped": bleu_sql(_pairs_sql(h=_R, refs=f"[{_H}]")),
     "bleu_by_split": bleu_sql(_pairs_sql("split"), "split"),

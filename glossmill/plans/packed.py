@@ -21,14 +21,13 @@ QUERIES = {"p3_found": p3_found}
 _VALUE = r"""[\p{L}\p{M}\p{Nd}⁰¹²³⁴⁵⁶⁷⁸⁹\-+:.()。？！]+"""
 _TOKENS = rf"""{_VALUE}|"(?:[^"\\]|\\.|"")*"|''(?:[^''\\]|\\.|'''')*''"""
 
-ORACLES = {
-    "p3_found": f"""
-WITH raw AS (
-  SELECT 'label_gloss' AS field, rec_id, label_gloss AS v FROM corpus_a
-  UNION ALL SELECT 'label_word', rec_id, label_word FROM corpus_a
-  UNION ALL SELECT 'label_postag', rec_id, label_postag FROM corpus_a
-  UNION ALL SELECT 'orth', rec_id, orth FROM corpus_b
-), bare AS (
+
+
+def items_sql(fields: list[tuple[str, str]]) -> str:
+    """CTEs up to ``kept (field, rec_id, items)`` for pairs of table and column."""
+    raw = " UNION ALL ".join(f"SELECT '{c}' AS field, rec_id, {c} AS v FROM {t}" for t, c in fields)
+    return f"""
+WITH raw AS ({raw}), bare AS (
   SELECT field, rec_id, CASE WHEN regexp_matches(trim(v), '^\\[.*\\]$', 's') OR regexp_matches(trim(v), '^\\(["''].*["'']\\)$', 's')
     THEN substr(trim(v), 2, length(trim(v)) - 2) ELSE v END AS v
   FROM raw WHERE v IS NOT NULL
@@ -38,7 +37,9 @@ WITH raw AS (
          WHEN x[1] = '''' THEN regexp_replace(replace(substr(x, 2, length(x) - 2), '''''', ''''), '\\\\(.)', '\\1', 'gs')
          ELSE x END) AS items
   FROM bare
-), kept AS (SELECT field, rec_id, list_filter(items, lambda x: trim(x) <> '') AS items FROM tokens)
-SELECT field, rec_id, CAST(unnest(range(len(items))) AS INTEGER) AS pos, unnest(items) AS item FROM kept
-""",
+), kept AS (SELECT field, rec_id, list_filter(items, lambda x: trim(x) <> '') AS items FROM tokens)"""
+
+
+ORACLES = {
+    "p3_found": items_sql([*(("corpus_a", f) for f in FIELDS_A), ("corpus_b", "orth")]) + " SELECT field, rec_id, CAST(unnest(range(len(items))) AS INTEGER) AS pos, unnest(items) AS item FROM kept",
 }

@@ -42,12 +42,16 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan._jdf.queryExecution().toRdd().getNumPartitions() >= cores else scan.repartition(cores)
 
 
+#: Batches have 10,000 rows at most by default; of long texts that alone is no bound.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per application."""
+    """Send this package to the executors' Python workers, once per application, and bound their Arrow batches by bytes."""
     sc = spark.sparkContext
+    if sc.getConf().get(BATCH_BYTES) is None:
+        spark.conf.set(BATCH_BYTES, "64m")
     if sc.applicationId in _SHIPPED:
         return
     _SHIPPED.add(sc.applicationId)

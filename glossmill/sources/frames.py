@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKETS = 64
+#: Frames per file at most.
+MAX_ROWS = 100_000
 
 
 def bucket(video: str = "video_id"):
@@ -18,12 +20,14 @@ def bucket(video: str = "video_id"):
 def write_store(frames: DataFrame, path: str) -> None:
     """Write ``frames (video_id, frame_no, jpeg)`` and the count of each video.
 
-    Frames are laid in hash buckets of their video, sorted by video and ordinal,
-    so that a video's frames are read from one folder and by row group; a folder
-    per video would be one small file each. The committer publishes whole files.
+    Frames are laid in folders by a hash of their video and sorted by video and
+    ordinal, so that a video's frames are read from one folder and few row
+    groups; a folder per video would be one small file each. Rows are dealt by
+    range, so a folder, or a long video, may be the work of many tasks. The
+    committer publishes whole files.
     """
-    laid = frames.withColumn("bucket", bucket()).repartition("bucket").sortWithinPartitions("bucket", "video_id", "frame_no")
-    laid.write.partitionBy("bucket").parquet(f"{path}/frames")
+    laid = frames.withColumn("bucket", bucket()).repartitionByRange("bucket", "video_id", "frame_no").sortWithinPartitions("bucket", "video_id", "frame_no")
+    laid.write.option("maxRecordsPerFile", MAX_ROWS).partitionBy("bucket").parquet(f"{path}/frames")
     counts = frames.groupBy("video_id").agg(F.count("*").cast("int").alias("num_frames"))
     counts.write.parquet(f"{path}/details")
 
