@@ -34,6 +34,8 @@ from glossmill.session import materialize
 #: Labelled rows per source that the classifier is fitted on, about (a hash of the key decides).
 SAMPLE_PER_SOURCE = 1_000
 LEVELS = 9
+#: Sources at most; cells, weights and thresholds have sizes that follow from it.
+MAX_DOMAINS = 64
 BINS = 4_096
 SOFT_WEIGHT = 0.1
 #: Weight that keeps the rates of one source near each other.
@@ -52,6 +54,9 @@ class Targets:
 
     @staticmethod
     def of(rows) -> Targets:
+        rows = list(rows)
+        if len(rows) > MAX_DOMAINS:
+            raise ValueError(f"more than {MAX_DOMAINS} sources")
         rows = sorted((r for r in rows if r[0] is not None and (r[1] or 0) > 0 and (r[2] or 0) > 0), key=lambda r: r[0])
         return Targets([r[0] for r in rows], np.array([float(r[1]) for r in rows]), np.array([int(r[2]) for r in rows], float))
 

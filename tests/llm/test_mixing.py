@@ -58,6 +58,11 @@ def test_mix(spark):
     assert report["leer"].tokens == 0 and report["wetter"].most_copies <= 2
 
 
+def test_too_many_sources():
+    with pytest.raises(ValueError):
+        mixing.Targets.of([(str(i), 0.01, 1) for i in range(65)])
+
+
 def test_small_total_and_nothing_to_mix(spark):
     df = docs(spark)
     targets = mixing.Targets.of([("wetter", 0.6, 1), ("notes", 0.4, 1)])
