@@ -4,7 +4,8 @@ Rolling hashes over a window of tokens mark landmarks in a text. From each
 cut, the first landmark between a least and a greatest size (the weakest hash
 if there is none) is snapped to the nearest natural boundary in that range: the
 end of a paragraph, line or sentence if the range has one, else white space or
-a clause mark, else the start of any character. Landmarks and boundaries
+a clause mark, else the last such boundary before the range, else the start of
+any character in it. Landmarks and boundaries
 depend on the text near them only, so an edit alters the pieces around it and
 later cuts fall where they fell before.
 
@@ -58,7 +59,7 @@ def landmarks(ids: np.ndarray) -> np.ndarray:
 
 
 def cuts(marks: np.ndarray, kinds: np.ndarray, least: int, most: int) -> list[int]:
-    """Cut positions between tokens, the ends included; pieces have at least ``least`` (but the last) and at most ``most`` tokens."""
+    """Cut positions between tokens, the ends included; pieces have at most ``most`` tokens and, but for the last and those before a long stretch without boundary, at least ``least``."""
     n = len(marks) - 1
     found = [0]
     mask = np.uint64(max(1, (most - least) // 2))
@@ -67,6 +68,9 @@ def cuts(marks: np.ndarray, kinds: np.ndarray, least: int, most: int) -> list[in
         window, kind = marks[lo : hi + 1], kinds[lo : hi + 1]
         hit = np.flatnonzero(window % mask == 0)
         mark = int(hit[0]) if len(hit) else int(np.argmin(window))
+        if kind.max() < 2 and len(early := np.flatnonzero(kinds[found[-1] + 1 : lo] >= 2)):
+            found.append(found[-1] + 1 + int(early[-1]))
+            continue
         best = np.flatnonzero(kind == kind.max())
         found.append(lo + int(best[np.argmin(np.abs(best - mark))]))
     return [*found, n]

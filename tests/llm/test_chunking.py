@@ -43,6 +43,12 @@ def test_cuts_stand_at_sentence_ends_where_there_are_some():
         assert zh[:end].decode()[-1] in "。！"
 
 
+def test_a_long_stretch_is_cut_off_where_it_begins():
+    text = "Ein kurzer Satz. " + UNBROKEN + " Und noch einer."
+    ends = [text.encode()[:b].decode() for _, b, _ in chunking.pieces(text, 256, 32, PATH)]
+    assert ends[0].rstrip() == "Ein kurzer Satz." and UNBROKEN + " Und" not in ends[1]
+
+
 def test_an_edit_alters_only_pieces_near_it():
     at = GERMAN.index("Moor", len(GERMAN) // 2)
     changed = GERMAN[:at] + "neuen Hochmoor am See" + GERMAN[at + 4 :]
