@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from glossmill.llm.identity import fingerprint
 from glossmill.session import materialize
 
 BLOCK = 65_536
@@ -133,14 +134,15 @@ def merge_indexes(*indexes: DataFrame) -> DataFrame:
 def term_frequencies(df: DataFrame, record: str, terms: str, listed: Sequence[DataFrame] = (), rare_below: int = 3, common_from: float = 0.4) -> DataFrame:
     """``(lemma, n, n_records, mark)`` for every term of the records and of the one-column tables ``listed``.
 
-    A record is a distinct value of ``record`` (null is one value); of repeated
+    A record is a distinct value of ``record`` (null is one value), known by 128
+    bits of it, so that the shuffle does not carry the values; of repeated
     rows the greatest list counts, and null lists are records without terms.
     ``mark`` is ``rare`` below ``rare_below`` records, else ``common`` if the
     occurrences divided by the number of records reach ``common_from``, else
     null. With no records at all every listed term is rare. Spellings that
     differ in letter case, outer white space or composition are one term.
     """
-    distinct = df.select(F.col(record).alias("record"), F.col(terms).alias("terms")).groupBy("record").agg(F.max("terms").alias("terms"))
+    distinct = df.select(*fingerprint(F.col(record), "r"), F.col(terms).alias("terms")).groupBy("r1", "r2").agg(F.max("terms").alias("terms"))
     index = materialize(vertical_index(distinct, "terms"), "terms")
     n = index.where("term is null").agg(F.sum("occurrences")).first()[0] or 0
     counted = merge_indexes(index).groupBy(F.col("term").alias("lemma")).agg(F.sum("occurrences").alias("n"), F.sum("n_records").alias("n_records"))
