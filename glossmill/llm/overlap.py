@@ -226,6 +226,8 @@ def near_texts(texts: DataFrame, unit: str, seed: int) -> DataFrame:
     """``(tid_e, tid_t, edits, n_units)``: pairs of different texts of ``(tid, text, in_eval, in_train)`` within two edits across the parts.
 
     ``texts`` must be a table that gives the same ``tid`` each time it is read.
+    The seeds are written down, so that the joins to the texts are planned by
+    their size: few seeds are sent to the texts, not all texts shuffled.
     """
     spark = texts.sparkSession
     counts = spark.sparkContext.broadcast(bucket_counts(texts, unit, seed))
@@ -241,7 +243,7 @@ def near_texts(texts: DataFrame, unit: str, seed: int) -> DataFrame:
         & (lo("size_t") <= hi("size_e") + EDITS)
         & (F.col("tid_e") != F.col("tid_t"))
     )
-    seeds = e.join(t, "gram").where(near).select("tid_e", "tid_t").distinct()
+    seeds = materialize(e.join(t, "gram").where(near).select("tid_e", "tid_t").distinct(), "seeds")
     x = texts.select(F.col("tid").alias("tid_e"), F.col("text").alias("text_e"))
     y = texts.select(F.col("tid").alias("tid_t"), F.col("text").alias("text_t"))
     both = seeds.join(x, "tid_e").join(y, "tid_t").select("tid_e", "tid_t", "text_e", "text_t")
