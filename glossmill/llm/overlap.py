@@ -36,6 +36,8 @@ from glossmill.session import materialize
 EDITS = 2
 #: Buckets of the fingerprint counts: what goes to the driver and back is 2**BUCKET_BITS counters, whatever the data.
 BUCKET_BITS = 20
+#: Bits of the filter of the eval part's fingerprints, which train fingerprints must pass before the shuffle; 2 MB whatever the data.
+FILTER_BITS = 24
 #: Longest units kept apart in a row's packed length and positions; beyond, they only filter less.
 LONGEST = (1 << 20) - 1
 K_MAX = {"word": 3, "char": 4}
@@ -191,8 +193,30 @@ def bucket_counts(texts: DataFrame, unit: str, seed: int) -> np.ndarray:
     return counts
 
 
-def minima(texts: DataFrame, unit: str, seed: int, counts) -> DataFrame:
-    """``(gram, tid, sig, size)``: the selected fingerprints of ``texts (tid, text)``; ``counts`` is a broadcast."""
+def _setting(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+    for batch in batches:
+        at = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+        np.bitwise_or.at(words, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    at = np.flatnonzero(words)
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(words[at].view(np.int64))], names=["word", "bits"])
+
+
+def gram_filter(grams: DataFrame) -> np.ndarray:
+    """One bit per class of fingerprints, set where ``grams (gram)`` has one. A full filter only lets everything pass."""
+    got = grams.select("gram").mapInArrow(_setting, "word int, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+    words[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+    return words
+
+
+def passes(h: np.ndarray, words: np.ndarray) -> np.ndarray:
+    at = h >> np.uint64(64 - FILTER_BITS)
+    return (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def minima(texts: DataFrame, unit: str, seed: int, counts, only=None) -> DataFrame:
+    """``(gram, tid, sig, size)``: the selected fingerprints of ``texts (tid, text)``, with ``only`` those that pass it; ``counts`` and ``only`` are broadcasts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,6 +224,9 @@ def minima(texts: DataFrame, unit: str, seed: int, counts) -> DataFrame:
             if not values:
                 continue
             s = select_minima(values, unit, seed, counts.value)
+            if only is not None:
+                kept = passes(s["hash"], only.value)
+                s = {name: x[kept] for name, x in s.items()}
             sig, sizes = parity(values, unit)
             clip = lambda x: np.minimum(x, LONGEST).astype(np.int64)
             packed = clip(sizes)[s["row"]] << 40 | np.where(s["lo"] >= LONGEST, 0, s["lo"]) << 20 | clip(s["hi"])
@@ -231,8 +258,10 @@ def near_texts(texts: DataFrame, unit: str, seed: int) -> DataFrame:
     """
     spark = texts.sparkSession
     counts = spark.sparkContext.broadcast(bucket_counts(texts, unit, seed))
-    e = minima(texts.where("in_eval"), unit, seed, counts).select("gram", *[F.col(c).alias(f"{c}_e") for c in ("tid", "sig", "size")])
-    t = minima(texts.where("in_train"), unit, seed, counts).select("gram", *[F.col(c).alias(f"{c}_t") for c in ("tid", "sig", "size")])
+    named = lambda m, side: m.select("gram", *[F.col(c).alias(f"{c}_{side}") for c in ("tid", "sig", "size")])
+    e = materialize(minima(texts.where("in_eval"), unit, seed, counts), "minima")
+    only = spark.sparkContext.broadcast(gram_filter(e))
+    e, t = named(e, "e"), named(minima(texts.where("in_train"), unit, seed, counts, only), "t")
     n = lambda c: F.shiftright(c, 40)
     lo = lambda c: F.shiftright(c, 20).bitwiseAND(LONGEST)
     hi = lambda c: F.col(c).bitwiseAND(LONGEST)
@@ -269,10 +298,12 @@ def cross_split_pairs(forms: DataFrame, unit_of: dict[str, str]) -> DataFrame:
     found = texts.where("in_eval and in_train").select(F.col("tid").alias("tid_e"), F.col("tid").alias("tid_t"), F.lit(0).alias("edits"), F.lit(None).cast("int").alias("n_units"))
     for seed, (c, u) in enumerate(sorted(unit_of.items()), 1):
         found = found.unionByName(near_texts(texts.where(F.col("corpus") == c), u, seed))
+    found = materialize(found, "found")
     ids = texts.select("tid", *key)
     e = rows.where("split <> 'train'").select(*key, F.col("rec_id").alias("rec_eval"), "split", "source")
     t = rows.where("split = 'train'").select("corpus", F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.col("rec_id").alias("rec_train"))
     keyed = found.join(ids.withColumnRenamed("tid", "tid_e"), "tid_e").join(ids.select(F.col("tid").alias("tid_t"), F.col("h1").alias("t1"), F.col("h2").alias("t2")), "tid_t")
+    keyed = materialize(keyed, "keyed")
     pairs = keyed.join(e, key).join(t, ["corpus", "t1", "t2"]).where("rec_eval <> rec_train")
     return pairs.select("corpus", F.least("rec_eval", "rec_train").alias("rec_a"), F.greatest("rec_eval", "rec_train").alias("rec_b"), "rec_eval", "split", "source", "edits", "n_units").distinct()
 
