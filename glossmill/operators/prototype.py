@@ -4,17 +4,29 @@ Every frame vector is compared with every prototype by cosine; one null class
 of an all-zero vector joins with similarity 0. A softmax over the classes of
 each frame and one over the valid frames of each class are multiplied and
 summed over the frames.
+
+Cosines lie between -1 and 1 and temperatures are at least 0.01, so the
+exponents are shifted by their known maximum and the softmax over time is a
+quotient of two sums. A score is therefore ``sum(a e) / sum(e)`` over the frames
+of a sample, which each task adds up for its frames before the one shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossmill.functions.math import as_doubles, clamp, unit
+from glossmill.functions.math import as_doubles
 
-#: Most prototypes that are sent to every task; more must be scored in blocks.
+#: Most prototypes that are sent to every task.
 MAX_PROTOTYPES = 100_000
+#: Similarities held at once.
+CELLS = 2_000_000
+LOWEST, HIGHEST = 0.01, 1.0
 
 
 def mean_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -24,10 +36,6 @@ def mean_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
     return means.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda e: e["x"]).alias("vector"))
 
 
-def temperature(value: float) -> Column:
-    return clamp(F.lit(float(value)), 0.01, 1.0)
-
-
 def softmax_over(x: Column, *keys: str) -> Column:
     """Softmax of a column within the rows that share ``keys``."""
     w = Window.partitionBy(*keys)
@@ -35,28 +43,67 @@ def softmax_over(x: Column, *keys: str) -> Column:
     return e / F.sum(e).over(w)
 
 
-def similarities(frames: DataFrame, prototypes: DataFrame) -> DataFrame:
-    """``(sample, t, class_id, s)`` of ``frames (sample, t, vec, valid)`` and ``prototypes (class_id, vector)``; invalid frames and null vectors are left out.
+def units(rows: list, width: int) -> np.ndarray:
+    """Vectors over their lengths; zero vectors stay zero."""
+    m = np.array(rows, np.float64).reshape(len(rows), width)
+    return m / np.maximum(np.sqrt((m * m).sum(axis=1, keepdims=True)), 1e-12)
+
 
-    The prototypes travel with the task as one array column of one row, so each
-    frame is read once and exploded over the classes; their number is checked.
-    """
-    n = prototypes.limit(MAX_PROTOTYPES + 1).count()
-    if n > MAX_PROTOTYPES:
+def packed(prototypes: DataFrame):
+    """A broadcast of the class ids and their unit vectors, in the order of the ids; their number is checked."""
+    got = prototypes.where("vector is not null").select(F.col("class_id").cast("int"), as_doubles(F.col("vector"))).orderBy("class_id").limit(MAX_PROTOTYPES + 1).collect()
+    if len(got) > MAX_PROTOTYPES:
         raise ValueError(f"more than {MAX_PROTOTYPES} prototypes")
-    null = prototypes.sparkSession.range(1).select(F.lit(None).cast("int").alias("class_id"), F.lit(None).cast("array<double>").alias("unit"))
-    all_classes = prototypes.select(F.col("class_id").cast("int").alias("class_id"), unit(F.col("vector")).alias("unit")).unionByName(null)
-    packed = all_classes.agg(F.collect_list(F.struct("class_id", "unit")).alias("classes")).withColumn("one", F.lit(1))
-    kept = frames.where(F.col("valid") & F.col("vec").isNotNull()).select("sample", "t", unit(F.col("vec")).alias("y"), F.lit(1).alias("one"))
-    each = kept.join(F.broadcast(packed), "one").select("sample", "t", "y", F.explode("classes").alias("c"))
-    s = F.when(F.col("c.unit").isNull(), 0.0).otherwise(F.aggregate(F.zip_with("y", F.col("c.unit"), lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x))
-    return each.select("sample", "t", F.col("c.class_id").alias("class_id"), s.alias("s"))
+    return prototypes.sparkSession.sparkContext.broadcast((np.array([r[0] for r in got], np.int32), units([r[1] for r in got], len(got[0][1]) if got else 0)))
+
+
+def _blocks(batch: pa.RecordBatch, vector: int, protos: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Rows and their similarities with all prototypes."""
+    step = max(1, CELLS // max(1, len(protos)))
+    for lo in range(0, batch.num_rows if len(protos) else 0, step):
+        rows = batch.column(vector).slice(lo, step).to_pylist()
+        yield slice(lo, lo + len(rows)), units(rows, protos.shape[1]) @ protos.T
+
+
+def _kept(frames: DataFrame, *columns: str) -> DataFrame:
+    return frames.where(F.col("valid") & F.col("vec").isNotNull()).select(*columns, as_doubles(F.col("vec")).alias("vec"))
+
+
+def similarities(frames: DataFrame, prototypes: DataFrame) -> DataFrame:
+    """``(sample, t, class_id, s)`` of ``frames (sample, t, vec, valid)`` and ``prototypes (class_id, vector)``; invalid frames and null vectors are left out."""
+    classes = packed(prototypes)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, protos = classes.value
+        for batch in batches:
+            for at, s in _blocks(batch, 2, protos):
+                row = pa.array(np.repeat(np.arange(at.start, at.stop), len(ids)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(np.tile(ids, at.stop - at.start)), pa.array(s.ravel())], names=["sample", "t", "class_id", "s"])
+
+    kinds = {c: frames.schema[c].dataType.simpleString() for c in ("sample", "t")}
+    return _kept(frames, "sample", "t").mapInArrow(run, f"sample {kinds['sample']}, t {kinds['t']}, class_id int, s double")
 
 
 def prototype_scores(frames: DataFrame, prototypes: DataFrame, class_temperature: float = 0.1, time_temperature: float = 0.1) -> DataFrame:
-    """``(sample, class_id, score)``, each score between 0 and 1; the null class is left out at the end."""
-    s = similarities(frames, prototypes).withColumn("cls", F.coalesce("class_id", F.lit(-1)))
-    a = softmax_over(F.col("s") / temperature(class_temperature), "sample", "t")
-    b = softmax_over(F.col("s") / temperature(time_temperature), "sample", "cls")
-    both = s.withColumn("a", a).withColumn("b", b)
-    return both.groupBy("sample", "class_id").agg(F.sum(F.col("a") * F.col("b")).alias("score")).where("class_id is not null")
+    """``(sample, class_id, score)``, each score between 0 and 1; temperatures are held between 0.01 and 1."""
+    classes = packed(prototypes)
+    tc, tt = (min(max(float(t), LOWEST), HIGHEST) for t in (class_temperature, time_temperature))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, protos = classes.value
+        for batch in batches:
+            sample = batch.column(0).dictionary_encode()
+            number = sample.indices.fill_null(len(sample.dictionary)).to_numpy(zero_copy_only=False)
+            for at, s in _blocks(batch, 1, protos):
+                a = np.exp((s - 1) / tc)
+                a /= a.sum(axis=1, keepdims=True) + np.exp(-1 / tc)  # the null class has similarity 0
+                e = np.exp((s - 1) / tt)
+                order = np.argsort(number[at], kind="stable")
+                first = np.flatnonzero(np.diff(number[at][order], prepend=-1))
+                ae, e = np.add.reduceat((a * e)[order], first), np.add.reduceat(e[order], first)
+                row = pa.array(np.repeat(order[first] + at.start, len(ids)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), pa.array(np.tile(ids, len(first))), pa.array(ae.ravel()), pa.array(e.ravel())], names=["sample", "class_id", "ae", "e"])
+
+    kind = frames.schema["sample"].dataType.simpleString()
+    sums = _kept(frames, "sample").mapInArrow(run, f"sample {kind}, class_id int, ae double, e double")
+    return sums.groupBy("sample", "class_id").agg((F.sum("ae") / F.sum("e")).alias("score"))

@@ -141,6 +141,11 @@ def test_prototypes(spark):
     got = {r.class_id: r.score for r in prototype.prototype_scores(frames, protos).collect()}
     assert got == pytest.approx(want, abs=1e-6)
     assert prototype.prototype_scores(frames.limit(0), protos).count() == 0
+    assert prototype.prototype_scores(frames, protos.limit(0)).count() == 0 and prototype.similarities(frames, protos.limit(0)).count() == 0
+    cold = prototype.prototype_scores(frames.repartition(5), protos, 0.0, 0.001).collect()
+    assert {r.class_id: r.score for r in cold} == pytest.approx({0: 1.0, 1: 1.0}, abs=1e-6)
+    soft = frames.where("valid").select("sample", "t", prototype.softmax_over(F.col("t") * 500.0, "sample").alias("p"))
+    assert {r.t: round(r.p, 6) for r in soft.where("sample = 0").collect()} == {0: 0.0, 1: 0.0, 2: 1.0}
 
 
 def test_vectors(spark):
