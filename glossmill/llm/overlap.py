@@ -173,21 +173,27 @@ def distance(a: list[str], b: list[str], limit: int = EDITS) -> int | None:
     return None
 
 
-def _counting(unit: str, seed: int):
+def _parts(corpus: pa.Array, unit_of: dict[str, str]) -> Iterator[tuple[int, str, np.ndarray]]:
+    """Of each corpus of a batch a number, its unit and the rows."""
+    names = np.array(corpus.to_pylist(), object)
+    for seed, (name, unit) in enumerate(sorted(unit_of.items()), 1):
+        if len(rows := np.flatnonzero(names == name)):
+            yield seed, unit, rows
+
+
+def bucket_counts(texts: DataFrame, unit_of: dict[str, str]) -> np.ndarray:
+    """How many fingerprints of ``texts (corpus, text)`` fall into each bucket."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
-            for _, _, _, h in grams(batch.column(0).to_pylist(), unit, seed):
-                total += np.bincount(_bucket(h), minlength=len(total))
+            for seed, unit, rows in _parts(batch.column(0), unit_of):
+                for _, _, _, h in grams(batch.column(1).take(pa.array(rows)).to_pylist(), unit, seed):
+                    total += np.bincount(_bucket(h), minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bucket", "n"])
 
-    return run
-
-
-def bucket_counts(texts: DataFrame, unit: str, seed: int) -> np.ndarray:
-    """How many fingerprints of the texts fall into each bucket."""
-    got = texts.select("text").mapInArrow(_counting(unit, seed), "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    got = texts.select("corpus", "text").mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(1 << BUCKET_BITS, np.int64)
     counts[got["bucket"].to_numpy()] = got["n"].to_numpy()
     return counts
@@ -215,53 +221,52 @@ def passes(h: np.ndarray, words: np.ndarray) -> np.ndarray:
     return (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def minima(texts: DataFrame, unit: str, seed: int, counts, only=None) -> DataFrame:
-    """``(gram, tid, sig, size)``: the selected fingerprints of ``texts (tid, text)``, with ``only`` those that pass it; ``counts`` and ``only`` are broadcasts."""
+def minima(texts: DataFrame, unit_of: dict[str, str], counts, only=None) -> DataFrame:
+    """``(gram, tid, sig, size)``: the selected fingerprints of ``texts (corpus, tid, text)``, with ``only`` those that pass it; ``counts`` and ``only`` are broadcasts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clip = lambda x: np.minimum(x, LONGEST).astype(np.int64)
         for batch in batches:
-            values = batch.column(1).to_pylist()
-            if not values:
-                continue
-            s = select_minima(values, unit, seed, counts.value)
-            if only is not None:
-                kept = passes(s["hash"], only.value)
-                s = {name: x[kept] for name, x in s.items()}
-            sig, sizes = parity(values, unit)
-            clip = lambda x: np.minimum(x, LONGEST).astype(np.int64)
-            packed = clip(sizes)[s["row"]] << 40 | np.where(s["lo"] >= LONGEST, 0, s["lo"]) << 20 | clip(s["hi"])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(s["hash"].view(np.int64)), batch.column(0).take(pa.array(s["row"])), pa.array(sig[s["row"]].view(np.int64)), pa.array(packed)],
-                names=["gram", "tid", "sig", "size"],
-            )
-
-    return texts.select("tid", "text").mapInArrow(run, "gram bigint, tid bigint, sig bigint, size bigint")
-
-
-def _verify(unit: str):
+            for seed, unit, rows in _parts(batch.column(0), unit_of):
+                values = batch.column(2).take(pa.array(rows)).to_pylist()
+                s = select_minima(values, unit, seed, counts.value)
+                if only is not None:
+                    kept = passes(s["hash"], only.value)
+                    s = {name: x[kept] for name, x in s.items()}
+                sig, sizes = parity(values, unit)
+                packed = clip(sizes)[s["row"]] << 40 | np.where(s["lo"] >= LONGEST, 0, s["lo"]) << 20 | clip(s["hi"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(s["hash"].view(np.int64)), batch.column(1).take(pa.array(rows[s["row"]])), pa.array(sig[s["row"]].view(np.int64)), pa.array(packed)],
+                    names=["gram", "tid", "sig", "size"],
+                )
+
+    return texts.select("corpus", "tid", "text").mapInArrow(run, "gram bigint, tid bigint, sig bigint, size bigint")
+
+
+def _verify(unit_of: dict[str, str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            d = pa.array([distance(units(a, unit), units(b, unit)) for a, b in zip(x, y)], pa.int32())
-            n = pa.array([len(units(a, unit)) for a in x], pa.int32())
+            of, x, y = ([unit_of[c] for c in batch.column(2).to_pylist()], batch.column(3).to_pylist(), batch.column(4).to_pylist())
+            d = pa.array([distance(units(a, u), units(b, u)) for u, a, b in zip(of, x, y)], pa.int32())
+            n = pa.array([len(units(a, u)) for u, a in zip(of, x)], pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), d, n], names=["tid_e", "tid_t", "edits", "n_units"]).filter(d.is_valid())
 
     return run
 
 
-def near_texts(texts: DataFrame, unit: str, seed: int) -> DataFrame:
-    """``(tid_e, tid_t, edits, n_units)``: pairs of different texts of ``(tid, text, in_eval, in_train)`` within two edits across the parts.
+def near_texts(texts: DataFrame, unit_of: dict[str, str]) -> DataFrame:
+    """``(tid_e, tid_t, edits, n_units)``: pairs of different texts of ``(corpus, tid, text, in_eval, in_train)`` within two edits across the parts of a corpus.
 
     ``texts`` must be a table that gives the same ``tid`` each time it is read.
     The seeds are written down, so that the joins to the texts are planned by
     their size: few seeds are sent to the texts, not all texts shuffled.
     """
-    spark = texts.sparkSession
-    counts = spark.sparkContext.broadcast(bucket_counts(texts, unit, seed))
+    context = texts.sparkSession.sparkContext
+    counts = context.broadcast(bucket_counts(texts, unit_of))
     named = lambda m, side: m.select("gram", *[F.col(c).alias(f"{c}_{side}") for c in ("tid", "sig", "size")])
-    e = materialize(minima(texts.where("in_eval"), unit, seed, counts), "minima")
-    only = spark.sparkContext.broadcast(gram_filter(e))
-    e, t = named(e, "e"), named(minima(texts.where("in_train"), unit, seed, counts, only), "t")
+    e = materialize(minima(texts.where("in_eval"), unit_of, counts), "minima")
+    only = context.broadcast(gram_filter(e))
+    e, t = named(e, "e"), named(minima(texts.where("in_train"), unit_of, counts, only), "t")
     n = lambda c: F.shiftright(c, 40)
     lo = lambda c: F.shiftright(c, 20).bitwiseAND(LONGEST)
     hi = lambda c: F.col(c).bitwiseAND(LONGEST)
@@ -273,10 +278,10 @@ def near_texts(texts: DataFrame, unit: str, seed: int) -> DataFrame:
         & (F.col("tid_e") != F.col("tid_t"))
     )
     seeds = materialize(e.join(t, "gram").where(near).select("tid_e", "tid_t").distinct(), "seeds")
-    x = texts.select(F.col("tid").alias("tid_e"), F.col("text").alias("text_e"))
+    x = texts.select("corpus", F.col("tid").alias("tid_e"), F.col("text").alias("text_e"))
     y = texts.select(F.col("tid").alias("tid_t"), F.col("text").alias("text_t"))
-    both = seeds.join(x, "tid_e").join(y, "tid_t").select("tid_e", "tid_t", "text_e", "text_t")
-    return both.mapInArrow(_verify(unit), "tid_e bigint, tid_t bigint, edits int, n_units int")
+    both = seeds.join(x, "tid_e").join(y, "tid_t").select("tid_e", "tid_t", "corpus", "text_e", "text_t")
+    return both.mapInArrow(_verify(unit_of), "tid_e bigint, tid_t bigint, edits int, n_units int")
 
 
 def cross_split_pairs(forms: DataFrame, unit_of: dict[str, str]) -> DataFrame:
@@ -295,10 +300,8 @@ def cross_split_pairs(forms: DataFrame, unit_of: dict[str, str]) -> DataFrame:
     key = ["corpus", "h1", "h2"]
     part = rows.groupBy(*key).agg(F.first("text").alias("text"), F.max(F.col("split") != "train").alias("in_eval"), F.max(F.col("split") == "train").alias("in_train"))
     texts = materialize(part.withColumn("tid", F.monotonically_increasing_id()), "texts")
-    found = texts.where("in_eval and in_train").select(F.col("tid").alias("tid_e"), F.col("tid").alias("tid_t"), F.lit(0).alias("edits"), F.lit(None).cast("int").alias("n_units"))
-    for seed, (c, u) in enumerate(sorted(unit_of.items()), 1):
-        found = found.unionByName(near_texts(texts.where(F.col("corpus") == c), u, seed))
-    found = materialize(found, "found")
+    same = texts.where("in_eval and in_train").select(F.col("tid").alias("tid_e"), F.col("tid").alias("tid_t"), F.lit(0).alias("edits"), F.lit(None).cast("int").alias("n_units"))
+    found = materialize(same.unionByName(near_texts(texts, unit_of)), "found")
     ids = texts.select("tid", *key)
     e = rows.where("split <> 'train'").select(*key, F.col("rec_id").alias("rec_eval"), "split", "source")
     t = rows.where("split = 'train'").select("corpus", F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.col("rec_id").alias("rec_train"))
