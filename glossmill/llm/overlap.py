@@ -40,7 +40,7 @@ BUCKET_BITS = 20
 FILTER_BITS = 24
 #: Longest units kept apart in a row's packed length and positions; beyond, they only filter less.
 LONGEST = (1 << 20) - 1
-K_MAX = {"word": 3, "char": 4}
+K_MAX = {"word": 3, "char": 6}
 
 _PUNCT = regex.compile(r"\p{P}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
