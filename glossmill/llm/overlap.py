@@ -20,10 +20,10 @@ the diagonals by alignment, which gives the exact distance.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -73,20 +73,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-@lru_cache(maxsize=500_000)
-def _word(w: str) -> int:
-    return xxhash.xxh64_intdigest(w)
-
-
 def unit_codes(texts: list[str], unit: str) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all units of all texts, and each text's number of units."""
     if unit == "char":
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         flat = mix(np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1))
         return flat, sizes
-    words = [t.split(" ") for t in texts]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    return np.fromiter((_word(w) for x in words for w in x), np.uint64, int(sizes.sum())), sizes
+    words = pc.split_pattern(pa.array(texts, pa.string()), " ")
+    coded = words.flatten().dictionary_encode()
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    return hashes[coded.indices.to_numpy(zero_copy_only=False)], words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def gram_sizes(n: int, k_max: int) -> set[int]:
