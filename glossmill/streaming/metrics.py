@@ -36,6 +36,8 @@ def run_to_end(stream: DataFrame, name: str, mode: str = "complete") -> DataFram
 
 
 def read_table_stream(spark: SparkSession, path: str) -> DataFrame:
-    """A stream over the files of a table."""
+    """A stream over the files of a table, a folder or a single file."""
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path if spark._jvm.java.io.File(path).isDirectory() else path.rpartition("/")[0] + "/" + path.rpartition("/")[2] + "*")
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder = at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory()
+    return spark.readStream.schema(schema).parquet(path if folder else f"{path}*")
