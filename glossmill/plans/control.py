@@ -44,8 +44,8 @@ def lr_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plateau_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rate after each month of mean sentence lengths, which it treats as a loss."""
-    b = table(spark, sf_dir, "corpus_b").where("translation is not null and loaded_at is not null")
-    monthly = b.groupBy(F.date_format("loaded_at", "yyyy-MM").alias("m")).agg(F.round(F.avg(F.size(text.words(F.col("translation")))), 3).alias("v"))
+    b = table(spark, sf_dir, "corpus_b").where("translation is not null and recorded_at is not null")
+    monthly = b.groupBy(F.date_format("recorded_at", "yyyy-MM").alias("m")).agg(F.round(F.avg(F.size(text.words(F.col("translation")))), 3).alias("v"))
     folded = monthly.agg(F.array_sort(F.collect_list(F.struct("m", "v"))).alias("rows")).withColumn("lr", control.plateau_lr(F.transform("rows", lambda r: r["v"]), 1.0, factor=0.5, patience=1))
     return folded.select(F.posexplode("rows").alias("i", "r"), "lr").select("r.m", "r.v", F.get("lr", F.col("i")).alias("lr"))
 
@@ -77,6 +77,13 @@ ORACLES = {
         SELECT it, round(1e6 * CASE WHEN it < 100 THEN 3e-6 + 2.97e-4 * it / 100 ELSE {_COS.format(a="(3e-4 * pow(0.7::DOUBLE, k))", b="(3e-6 * pow(0.7::DOUBLE, k))", t="((w % 950) / 950::DOUBLE)")} END, 5) AS warm,
         round(1e6 * ({_COS.format(a="1e-3", b="1e-5", t="(it / 2000::DOUBLE)")}), 5) AS cosine,
         round(1e6 * 1e-3 * pow(0.1::DOUBLE, (it // 20 >= 30)::INT + (it // 20 >= 60)::INT + (it // 20 >= 90)::INT), 5) AS steps FROM i""",
+    "plateau_schedule": """WITH RECURSIVE g AS (SELECT strftime(recorded_at, '%Y-%m') AS m, round(avg(len(list_filter(regexp_split_to_array(translation, '[\\s\\p{Z}]+'), lambda x: x <> ''))), 3) AS v
+          FROM corpus_b WHERE translation IS NOT NULL AND recorded_at IS NOT NULL GROUP BY 1),
+        r AS (SELECT row_number() OVER (ORDER BY m) AS i, m, v FROM g),
+        s AS (SELECT i, m, v, v AS best, 0 AS bad, 1.0::DOUBLE AS lr FROM r WHERE i = 1
+          UNION ALL SELECT r.i, r.m, r.v, CASE WHEN r.v < best * 0.9999::DOUBLE THEN r.v ELSE best END, CASE WHEN r.v < best * 0.9999::DOUBLE OR bad >= 1 THEN 0 ELSE bad + 1 END,
+            CASE WHEN r.v >= best * 0.9999::DOUBLE AND bad >= 1 THEN lr * 0.5 ELSE lr END FROM s JOIN r ON r.i = s.i + 1)
+        SELECT m, v, lr FROM s""",
     "metric_flatten": "SELECT * FROM (VALUES (1, 'loss', 2.5::DOUBLE), (1, 'bleu_bleu1', 10.0), (1, 'bleu_bleu4', 1.5), (2, 'loss', 2.0), (2, 'bleu_bleu1', 12.0), (2, 'bleu_bleu4', 2.5)) t(epoch, metric, value)",
     "mean_of_max": "SELECT round(avg(m), 6) AS mean_of_max FROM (SELECT max(value) AS m FROM events GROUP BY user_id)",
     "signature_line": "SELECT 'case.mixed+numrefs.1+smooth.exp+tok.13a' AS signature, 'rows = ' || count(*) || '.00' AS line, -9999999999.0::DOUBLE AS log0 FROM corpus_b",

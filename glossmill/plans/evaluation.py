@@ -100,7 +100,7 @@ def bleu_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = metrics.read_table_stream(spark, f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    stream = metrics.read_table_stream(spark, f"{sf_dir}/events.parquet")
     counts = stream.groupBy(F.window("ts", "1 day").start.alias("day"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
     return metrics.run_to_end(counts.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "n", "total"), "events")
 
