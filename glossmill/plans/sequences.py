@@ -91,13 +91,39 @@ def pad_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def teacher_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of the characters of each sentence: cut at the first end mark and at 24, as inputs and targets."""
+    """Ids of the characters of each sentence, up to its first comma and 24 of them, as inputs and targets; whole in ``teacher_shift_whole``."""
     ids = F.transform(F.filter(F.split("translation", ""), lambda c: c != ""), lambda c: F.ascii(c))
     b = table(spark, sf_dir, "corpus_b").where("translation is not null").select("rec_id", sequence.truncated(sequence.until(ids, 44), 24).alias("ids"))
     inputs, targets = sequence.shifted(F.col("ids"))
     return b.select("rec_id", _joined(inputs).alias("inputs"), _joined(targets).alias("targets"))
 
 
+def _sentence_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = F.transform(F.filter(F.split("translation", ""), lambda c: c != ""), lambda c: F.ascii(c))
+    return table(spark, sf_dir, "corpus_b").where("translation is not null").select("rec_id", ids.alias("ids"))
+
+
+def teacher_shift_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all characters of each sentence, as inputs and targets."""
+    inputs, targets = sequence.shifted(F.col("ids"))
+    return _sentence_ids(spark, sf_dir).select("rec_id", _joined(inputs).alias("inputs"), _joined(targets).alias("targets"))
+
+
+#: Ids of padding and of the end of a sentence, which no character has.
+_PAD, _END = 1, 2
+
+
+def until_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of each sentence as a model gives them, with the end mark and padding after it, cut at the end mark."""
+    given = F.concat("ids", F.array(F.lit(_END)), F.array_repeat(F.lit(_PAD), (F.col("rec_id") % 4).cast("int")))
+    return _sentence_ids(spark, sf_dir).select("rec_id", _joined(sequence.until(given, _END)).alias("ids"))
+
+
+def truncated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 64 ids of each sentence, the reference's limit."""
+    return _sentence_ids(spark, sf_dir).select("rec_id", _joined(sequence.truncated(F.col("ids"), 64)).alias("ids"))
+
+
 def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select(F.floor(F.col("vec_id") / 10).alias("sample"), (F.col("vec_id") % 10).alias("t"), F.col("embedding").alias("vec"), F.col("embedding").isNotNull().alias("valid"), "label")
@@ -201,7 +227,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         stride_sample, jitter_sample, cap_sample, event_positions, downsample_pool, local_window, local_attention, causal_sum, position_ids, prefix_offsets, concat_index, locate_ordinals, full_batches,
-        pad_mask, teacher_shift, prototype_scores, recall_f1_micro, recall_f1_macro, class_counts, bce_loss, ce_loss, weighted_loss, arg_max_class, cosine_to_first, normalized_channels, rescaled_points,
+        pad_mask, teacher_shift, teacher_shift_whole, until_end, truncated_ids, prototype_scores, recall_f1_micro, recall_f1_macro, class_counts, bce_loss, ce_loss, weighted_loss, arg_max_class, cosine_to_first, normalized_channels, rescaled_points,
         sinusoid_table, rotary, shuffled_order,
     )
 }
@@ -224,6 +250,7 @@ n AS (SELECT class_id, sum((score > 0.5 AND y = 1)::INT)::BIGINT AS tp, sum((sco
 _BCE = "avg(CASE WHEN y = 1 THEN -ln(least(greatest(score, 1e-8), 1 - 1e-8)) ELSE -ln(1 - least(greatest(score, 1e-8), 1 - 1e-8)) END)"
 _CE = """ce AS (SELECT avg(ln(se) - 0.9::DOUBLE * hit - 0.1::DOUBLE * m) AS ce FROM (SELECT sample, t, sum(exp(s * 10)) AS se, avg(s * 10) AS m, max(CASE WHEN class_id = label THEN s * 10 END) AS hit FROM s GROUP BY ALL) WHERE hit IS NOT NULL)"""
 _EW = f"WITH {_LONG}"
+_IDS = "c AS (SELECT rec_id, list_transform(range(1, length(translation) + 1), lambda i: unicode(substring(translation, i, 1))) AS ids FROM corpus_b WHERE translation IS NOT NULL)"
 
 ORACLES = {
     "stride_sample": f"WITH {_V} SELECT video_id, CASE WHEN n IS NOT NULL THEN array_to_string(range(0, n, 2), ',') END AS ordinals FROM v",
@@ -254,6 +281,9 @@ ORACLES = {
     "teacher_shift": """WITH c AS (SELECT rec_id, list_transform(list_filter(string_split(translation, ''), lambda x: x <> ''), lambda x: ord(x)) AS a FROM corpus_b WHERE translation IS NOT NULL),
         i AS (SELECT rec_id, (CASE WHEN list_position(a, 44) > 0 THEN a[:list_position(a, 44) - 1] ELSE a END)[:24] AS ids FROM c)
         SELECT rec_id, coalesce(array_to_string(CASE WHEN len(ids) > 0 THEN ids[:len(ids) - 1] ELSE [] END, ','), '') AS inputs, coalesce(array_to_string(ids[2:], ','), '') AS targets FROM i""",
+    "teacher_shift_whole": f"WITH {_IDS} SELECT rec_id, array_to_string(ids[:greatest(len(ids) - 1, 0)], ',') AS inputs, array_to_string(ids[2:], ',') AS targets FROM c",
+    "until_end": f"WITH {_IDS} SELECT rec_id, array_to_string(ids, ',') AS ids FROM c",
+    "truncated_ids": f"WITH {_IDS} SELECT rec_id, array_to_string(ids[:64], ',') AS ids FROM c",
     "prototype_scores": f"{_SCORES} SELECT sample, class_id, round(score, 6) AS score FROM sc",
     "recall_f1_micro": f"{_SCORES} SELECT round(sum(tp)::DOUBLE / sum(tp + fn), 6) AS recall_micro, round(sum(tp) / (sum(tp) + 0.5::DOUBLE * sum(fp + fn)), 6) AS f1_micro FROM n",
     "recall_f1_macro": f"{_SCORES} SELECT round(avg(tp / (tp + fn + 1e-8::DOUBLE)), 6) AS recall_macro, round(avg(tp / (tp + 0.5::DOUBLE * (fp + fn))), 6) AS f1_macro FROM n WHERE tp + fn > 0",
