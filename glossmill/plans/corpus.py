@@ -165,16 +165,25 @@ def segment_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def separated_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of the first line of each text; those of every line in ``separated_fields_lines``."""
     d = table(spark, sf_dir, "documents")
     first = F.substring_index("text", "\n", 1)
     return d.select("doc_id", text.separated_field(first, 0).alias("f0"), text.separated_field(first, 1).alias("f1"))
 
 
+def separated_fields_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of every line of each text, numbered from 0; a last line break starts no line, and null and empty texts have none."""
+    d = spread(table(spark, sf_dir, "documents").where("text <> ''").select("doc_id", "text"))
+    lines = F.split(F.regexp_replace("text", r"\n\z", ""), "\n", -1)
+    each = d.select("doc_id", F.posexplode(lines).alias("line_no", "line"))
+    return each.select("doc_id", "line_no", text.separated_field(F.col("line"), 0).alias("f0"), text.separated_field(F.col("line"), 1).alias("f1"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         literal_join, split_filter, split_membership, split_join, split_union, sample_projection, last_delivery, vocab_counts, vocab_ids, freq_filter, sentence_ids, lookup_misses, pos_filter,
-        decoded_replacements, inverted_map, to_extract, frame_details, frame_select, delimited_round_trip, dictionary_file, origin_subset, segment_markup, separated_fields,
+        decoded_replacements, inverted_map, to_extract, frame_details, frame_select, delimited_round_trip, dictionary_file, origin_subset, segment_markup, separated_fields, separated_fields_lines,
     )
 }
 
@@ -223,4 +232,7 @@ SELECT words.rec_id, coalesce(picked.words, '') AS words FROM words JOIN tags US
         SELECT doc_id, source FROM c WHERE m IS NOT NULL AND m.origin <> 'de' AND regexp_matches(coalesce(m.tag, ''), '^(note|run|annotation|dialogue)')""",
     "segment_markup": "SELECT rec_id, trim(regexp_replace(translation, '[\\s\\p{Z}]+', ' ', 'g')) AS plain, rec_id::VARCHAR AS seg FROM corpus_b WHERE translation IS NOT NULL",
     "separated_fields": "SELECT doc_id, string_split(string_split(text, chr(10))[1], chr(9))[1] AS f0, string_split(string_split(text, chr(10))[1], chr(9))[2] AS f1 FROM documents",
+    "separated_fields_lines": """WITH l AS (SELECT doc_id, string_split(CASE WHEN text LIKE '%' || chr(10) THEN left(text, length(text) - 1) ELSE text END, chr(10)) AS a FROM documents WHERE text <> ''),
+        n AS (SELECT doc_id, unnest(range(len(a)))::INT AS line_no, unnest(a) AS line FROM l)
+        SELECT doc_id, line_no, string_split(line, chr(9))[1] AS f0, string_split(line, chr(9))[2] AS f1 FROM n""",
 }

@@ -20,3 +20,10 @@ def test_shift_takes_whole_sentences(spark, tmp_path):
     assert {i: (r.inputs, r.targets) for i, r in got.items()} == {i: (joined(ids(t)[:-1]), joined(ids(t)[1:])) for i, t in enumerate(texts[:-1])}
     assert {r.rec_id: r.ids for r in QUERIES["until_end"](spark, str(tmp_path)).collect()} == {i: joined(ids(t)) for i, t in enumerate(texts[:-1])}
     assert {r.rec_id: r.ids for r in QUERIES["truncated_ids"](spark, str(tmp_path)).collect()} == {i: joined(ids(t)[:64]) for i, t in enumerate(texts[:-1])}
+
+
+def test_every_line_gives_its_fields(spark, tmp_path):
+    texts = ["a\tb\tc\nd\n\n\te\n", "x\ty", "\n", "z\n\n", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, QUERIES["separated_fields_lines"](spark, str(tmp_path)).collect()))
+    assert got == [(0, 0, "a", "b"), (0, 1, "d", None), (0, 2, "", None), (0, 3, "", "e"), (1, 0, "x", "y"), (2, 0, "", None), (3, 0, "z", None), (3, 1, "", None)]
