@@ -44,8 +44,16 @@ def split_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Samples as JSON records, the glosses with them."""
-    b = table(spark, sf_dir, "corpus_b").where("split = 'test'")
+    """Samples of the test split as JSON records, the glosses with them; those of all rows in ``sample_projection_all``."""
+    return _samples(table(spark, sf_dir, "corpus_b").where("split = 'test'"))
+
+
+def sample_projection_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of all splits, and of none, as JSON records, the glosses with them."""
+    return _samples(table(spark, sf_dir, "corpus_b"))
+
+
+def _samples(b: DataFrame) -> DataFrame:
     return b.select("rec_id", F.to_json(F.struct("rec_id", F.col("translation").alias("sentence"), F.col("name").alias("file_name"))).alias("sample"), F.size(text.split_blanks(F.col("orth"))).alias("n_glosses"))
 
 
@@ -182,7 +190,7 @@ def separated_fields_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        literal_join, split_filter, split_membership, split_join, split_union, sample_projection, last_delivery, vocab_counts, vocab_ids, freq_filter, sentence_ids, lookup_misses, pos_filter,
+        literal_join, split_filter, split_membership, split_join, split_union, sample_projection, sample_projection_all, last_delivery, vocab_counts, vocab_ids, freq_filter, sentence_ids, lookup_misses, pos_filter,
         decoded_replacements, inverted_map, to_extract, frame_details, frame_select, delimited_round_trip, dictionary_file, origin_subset, segment_markup, separated_fields, separated_fields_lines,
     )
 }
@@ -197,6 +205,8 @@ _TAGS = ", ".join(f"'{t}'" for t in CONTENT_TAGS)
 ORACLES = {
     "sample_projection": """SELECT rec_id, CASE WHEN translation IS NULL THEN to_json({'rec_id': rec_id, 'file_name': name}) ELSE to_json({'rec_id': rec_id, 'sentence': translation, 'file_name': name}) END::VARCHAR AS sample,
         len(string_split(orth, ' '))::INT AS n_glosses FROM corpus_b WHERE split = 'test'""",
+    "sample_projection_all": """SELECT rec_id, CASE WHEN translation IS NULL THEN to_json({'rec_id': rec_id, 'file_name': name}) ELSE to_json({'rec_id': rec_id, 'sentence': translation, 'file_name': name}) END::VARCHAR AS sample,
+        len(string_split(orth, ' '))::INT AS n_glosses FROM corpus_b""",
     "literal_join": f"SELECT rec_id, CASE WHEN {_IS_LIST} THEN array_to_string({_LITERAL}, '') END AS sentence, CASE WHEN {_IS_LIST} THEN len({_LITERAL})::INT END AS n_signs FROM corpus_a",
     "split_filter": "SELECT rec_id, name, split FROM corpus_b WHERE split = 'dev'",
     "split_membership": "SELECT split, source, count(*) AS n FROM corpus_b WHERE split IN ('train', 'test') GROUP BY ALL",

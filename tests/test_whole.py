@@ -1,5 +1,7 @@
 """Queries give all of their tables, not the first part of them."""
 
+import json
+
 from glossmill.plans import registry
 
 QUERIES, ORACLES = registry.collect()
@@ -27,3 +29,10 @@ def test_every_line_gives_its_fields(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = sorted(map(tuple, QUERIES["separated_fields_lines"](spark, str(tmp_path)).collect()))
     assert got == [(0, 0, "a", "b"), (0, 1, "d", None), (0, 2, "", None), (0, 3, "", "e"), (1, 0, "x", "y"), (2, 0, "", None), (3, 0, "z", None), (3, 1, "", None)]
+
+
+def test_samples_of_all_splits(spark, tmp_path):
+    rows = [(i, f"n{i}", "REGEN  NORD", f'"{i}"', split) for i, split in enumerate(["train", "dev", "test", None])] + [(4, "n4", None, None, "train")]
+    spark.createDataFrame(rows, "rec_id bigint, name string, orth string, translation string, split string").write.parquet(f"{tmp_path}/corpus_b.parquet")
+    got = {r.rec_id: (json.loads(r.sample), r.n_glosses) for r in QUERIES["sample_projection_all"](spark, str(tmp_path)).collect()}
+    assert got == {i: ({"rec_id": i, "sentence": f'"{i}"', "file_name": f"n{i}"}, 3) for i in range(4)} | {4: ({"rec_id": 4, "file_name": "n4"}, None)}
