@@ -156,9 +156,14 @@ def tokenize_intl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenize_zh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled zh; all of them in ``tokenize_zh_all``."""
     return spread(table(spark, sf_dir, "documents").where("lang = 'zh'").select("doc_id", "text")).select("doc_id", text.tokenize_zh(F.col("text")).alias("tokens"))
 
 
+def tokenize_zh_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", text.tokenize_zh(F.col("text")).alias("tokens"))
+
+
 def split_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = text.with_suffix(text.spaced_characters(text.joined_literal(F.col("label_char"))), " .")
     return table(spark, sf_dir, "corpus_a").select("rec_id", c.alias("spaced"))
@@ -168,7 +173,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         bleu_corpus, bleu_corpus_swapped, bleu_by_split, bleu_sentence, bleu_multiref, bleu_smooth_exp, bleu_smooth_addk, bleu_smooth_floor, bleu_tokenized, bleu_chars,
-        bleu_stream, events_stream, ngram_counts, chrf_corpus, chrf_sentence, rouge_l, rouge_l_mean, bag_overlap, bag_intersection, tokenize_13a, tokenize_intl, tokenize_zh, split_characters,
+        bleu_stream, events_stream, ngram_counts, chrf_corpus, chrf_sentence, rouge_l, rouge_l_mean, bag_overlap, bag_intersection, tokenize_13a, tokenize_intl, tokenize_zh, tokenize_zh_all, split_characters,
     )
 }
 
@@ -287,5 +292,6 @@ ORACLES = {
     "tokenize_13a": f"SELECT doc_id, {_13a('text')} AS tokens FROM documents",
     "tokenize_intl": f"SELECT rec_id, trim({_rules('translation', text.INTERNATIONAL)}) AS tokens FROM corpus_b",
     "tokenize_zh": f"SELECT doc_id, {_squeeze(_rules(_rules('trim(text)', [(f'({text.isolated_class()})', ' $1 ')]), text.WESTERN))} AS tokens FROM documents WHERE lang = 'zh'",
+    "tokenize_zh_all": f"SELECT doc_id, {_squeeze(_rules(_rules('trim(text)', [(f'({text.isolated_class()})', ' $1 ')]), text.WESTERN))} AS tokens FROM documents",
     "split_characters": f"SELECT rec_id, CASE WHEN label_char IS NOT NULL AND trim(label_char) <> '' THEN array_to_string(list_filter(string_split(array_to_string({_LITERAL}, ''), ''), lambda x: x <> ''), ' ') || ' .' END AS spaced FROM corpus_a",
 }

@@ -36,3 +36,10 @@ def test_samples_of_all_splits(spark, tmp_path):
     spark.createDataFrame(rows, "rec_id bigint, name string, orth string, translation string, split string").write.parquet(f"{tmp_path}/corpus_b.parquet")
     got = {r.rec_id: (json.loads(r.sample), r.n_glosses) for r in QUERIES["sample_projection_all"](spark, str(tmp_path)).collect()}
     assert got == {i: ({"rec_id": i, "sentence": f'"{i}"', "file_name": f"n{i}"}, 3) for i in range(4)} | {4: ({"rec_id": 4, "file_name": "n4"}, None)}
+
+
+def test_chinese_tokens_of_all_documents(spark, tmp_path):
+    rows = [(i, "今天ok，3.5", lang) for i, lang in enumerate(["zh", "de", "en", None])] + [(4, "wind, regen", "de"), (5, None, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.tokens for r in QUERIES["tokenize_zh_all"](spark, str(tmp_path)).collect()}
+    assert got == {i: "今 天 ok ， 3.5" for i in range(4)} | {4: "wind , regen", 5: None}
