@@ -85,8 +85,18 @@ def full_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pad_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strided ordinals in batches padded to 200 at most; whole in ``pad_mask_whole``."""
+    return _padded_batches(spark, sf_dir, 200)
+
+
+def pad_mask_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strided ordinals in batches padded to the longest of each."""
+    return _padded_batches(spark, sf_dir, None)
+
+
+def _padded_batches(spark: SparkSession, sf_dir: str, most: int | None) -> DataFrame:
     v = _videos(spark, sf_dir).withColumn("s", sequence.strided(F.coalesce("n", F.lit(0))))
-    p = sequence.pad_batches(sequence.batches(v, 8, "video_id", drop_last=False), "s", 200)
+    p = sequence.pad_batches(sequence.batches(v, 8, "video_id", drop_last=False), "s", most)
     return p.select("batch_id", "video_id", _joined(F.col("padded")).alias("padded"), F.size(F.filter("mask", lambda m: m)).alias("n_valid"))
 
 
@@ -227,7 +237,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         stride_sample, jitter_sample, cap_sample, event_positions, downsample_pool, local_window, local_attention, causal_sum, position_ids, prefix_offsets, concat_index, locate_ordinals, full_batches,
-        pad_mask, teacher_shift, teacher_shift_whole, until_end, truncated_ids, prototype_scores, recall_f1_micro, recall_f1_macro, class_counts, bce_loss, ce_loss, weighted_loss, arg_max_class, cosine_to_first, normalized_channels, rescaled_points,
+        pad_mask, pad_mask_whole, teacher_shift, teacher_shift_whole, until_end, truncated_ids, prototype_scores, recall_f1_micro, recall_f1_macro, class_counts, bce_loss, ce_loss, weighted_loss, arg_max_class, cosine_to_first, normalized_channels, rescaled_points,
         sinusoid_table, rotary, shuffled_order,
     )
 }
@@ -278,6 +288,9 @@ ORACLES = {
     "pad_mask": f"""WITH {_V}, r AS (SELECT video_id, range(0, coalesce(n, 0), 2) AS s, (row_number() OVER (ORDER BY video_id) - 1) // 8 AS batch_id FROM v),
         l AS (SELECT *, least(max(len(s)) OVER (PARTITION BY batch_id), 200) AS k FROM r)
         SELECT batch_id, video_id, array_to_string(list_transform(range(1, k + 1), lambda i: coalesce(s[i], 0)), ',') AS padded, least(len(s), k)::INT AS n_valid FROM l""",
+    "pad_mask_whole": f"""WITH {_V}, r AS (SELECT video_id, range(0, coalesce(n, 0), 2) AS s, (row_number() OVER (ORDER BY video_id) - 1) // 8 AS batch_id FROM v),
+        l AS (SELECT *, max(len(s)) OVER (PARTITION BY batch_id) AS k FROM r)
+        SELECT batch_id, video_id, array_to_string(list_transform(range(1, k + 1), lambda i: coalesce(s[i], 0)), ',') AS padded, len(s)::INT AS n_valid FROM l""",
     "teacher_shift": """WITH c AS (SELECT rec_id, list_transform(list_filter(string_split(translation, ''), lambda x: x <> ''), lambda x: ord(x)) AS a FROM corpus_b WHERE translation IS NOT NULL),
         i AS (SELECT rec_id, (CASE WHEN list_position(a, 44) > 0 THEN a[:list_position(a, 44) - 1] ELSE a END)[:24] AS ids FROM c)
         SELECT rec_id, coalesce(array_to_string(CASE WHEN len(ids) > 0 THEN ids[:len(ids) - 1] ELSE [] END, ','), '') AS inputs, coalesce(array_to_string(ids[2:], ','), '') AS targets FROM i""",

@@ -43,3 +43,9 @@ def test_chinese_tokens_of_all_documents(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.tokens for r in QUERIES["tokenize_zh_all"](spark, str(tmp_path)).collect()}
     assert got == {i: "今 天 ok ， 3.5" for i in range(4)} | {4: "wind , regen", 5: None}
+
+
+def test_padding_cuts_nothing(spark, tmp_path):
+    spark.createDataFrame([("a", 457), ("b", 3), ("c", None)], "video_id string, num_frames bigint").write.parquet(f"{tmp_path}/frame_meta.parquet")
+    got = {r.video_id: (r.padded, r.n_valid) for r in QUERIES["pad_mask_whole"](spark, str(tmp_path)).collect()}
+    assert got == {"a": (joined(range(0, 457, 2)), 229), "b": (joined([0, 2] + [0] * 227), 2), "c": (joined([0] * 229), 0)}
