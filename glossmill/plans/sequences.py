@@ -71,12 +71,24 @@ def concat_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.concatenated([("a", table(spark, sf_dir, "corpus_a")), ("b", table(spark, sf_dir, "corpus_b"))], "rec_id")
 
 
-def locate_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = None
     for i, t in enumerate(("corpus_a", "corpus_b", "documents")):
         part = table(spark, sf_dir, t).agg(F.count("*").alias("size")).select(F.lit(i).alias("member_no"), F.lit(t).alias("member"), "size")
         sizes = part if sizes is None else sizes.unionByName(part)
-    return sequence.locate(spark.createDataFrame([(x,) for x in (0, 1, 149, 1499, 1500, 4000, -1, -1000, -10**9, 10**9)], "idx bigint"), sizes)
+    return sizes
+
+
+def locate_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten fixed ordinals; every position in ``locate_positions``."""
+    return sequence.locate(spark.createDataFrame([(x,) for x in (0, 1, 149, 1499, 1500, 4000, -1, -1000, -10**9, 10**9)], "idx bigint"), _sizes(spark, sf_dir))
+
+
+def locate_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every position of the members laid end to end, counted from the start and from the end, and the first one beyond either."""
+    sizes = _sizes(spark, sf_dir)
+    total = sizes.agg(F.sum("size")).first()[0]
+    return sequence.locate(spark.range(-total - 1, total + 1).withColumnRenamed("id", "idx"), sizes)
 
 
 def full_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,7 +248,7 @@ def shuffled_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        stride_sample, jitter_sample, cap_sample, event_positions, downsample_pool, local_window, local_attention, causal_sum, position_ids, prefix_offsets, concat_index, locate_ordinals, full_batches,
+        stride_sample, jitter_sample, cap_sample, event_positions, downsample_pool, local_window, local_attention, causal_sum, position_ids, prefix_offsets, concat_index, locate_ordinals, locate_positions, full_batches,
         pad_mask, pad_mask_whole, teacher_shift, teacher_shift_whole, until_end, truncated_ids, prototype_scores, recall_f1_micro, recall_f1_macro, class_counts, bce_loss, ce_loss, weighted_loss, arg_max_class, cosine_to_first, normalized_channels, rescaled_points,
         sinusoid_table, rotary, shuffled_order,
     )
@@ -284,6 +296,10 @@ ORACLES = {
         r AS (SELECT member, sum(n) OVER (ORDER BY no) - n AS lo, sum(n) OVER (ORDER BY no) AS hi, sum(n) OVER () AS total FROM s),
         q AS (SELECT unnest([0, 1, 149, 1499, 1500, 4000, -1, -1000, -1000000000, 1000000000])::BIGINT AS idx)
         SELECT idx, member, (CASE WHEN idx < 0 THEN idx + total ELSE idx END - lo)::BIGINT AS local_idx FROM q LEFT JOIN r ON CASE WHEN idx < 0 THEN idx + total ELSE idx END >= lo AND CASE WHEN idx < 0 THEN idx + total ELSE idx END < hi""",
+    "locate_positions": """WITH s AS (SELECT 0 AS no, 'corpus_a' AS member, count(*) AS n FROM corpus_a UNION ALL SELECT 1, 'corpus_b', count(*) FROM corpus_b UNION ALL SELECT 2, 'documents', count(*) FROM documents),
+        r AS (SELECT member, unnest(range(n)) AS local_idx, sum(n) OVER (ORDER BY no) - n AS lo, sum(n) OVER () AS total FROM s)
+        SELECT (lo + local_idx)::BIGINT AS idx, member, local_idx FROM r UNION ALL SELECT (lo + local_idx - total)::BIGINT, member, local_idx FROM r
+        UNION ALL SELECT unnest([sum(n), -sum(n) - 1])::BIGINT, NULL, NULL FROM s""",
     "full_batches": """WITH r AS (SELECT rec_id, row_number() OVER (ORDER BY rec_id) - 1 AS i FROM corpus_a) SELECT i // 16 AS batch_id, string_agg(rec_id::VARCHAR, ',' ORDER BY i) AS ids FROM r GROUP BY 1 HAVING count(*) = 16""",
     "pad_mask": f"""WITH {_V}, r AS (SELECT video_id, range(0, coalesce(n, 0), 2) AS s, (row_number() OVER (ORDER BY video_id) - 1) // 8 AS batch_id FROM v),
         l AS (SELECT *, least(max(len(s)) OVER (PARTITION BY batch_id), 200) AS k FROM r)

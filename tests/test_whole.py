@@ -49,3 +49,11 @@ def test_padding_cuts_nothing(spark, tmp_path):
     spark.createDataFrame([("a", 457), ("b", 3), ("c", None)], "video_id string, num_frames bigint").write.parquet(f"{tmp_path}/frame_meta.parquet")
     got = {r.video_id: (r.padded, r.n_valid) for r in QUERIES["pad_mask_whole"](spark, str(tmp_path)).collect()}
     assert got == {"a": (joined(range(0, 457, 2)), 229), "b": (joined([0, 2] + [0] * 227), 2), "c": (joined([0] * 229), 0)}
+
+
+def test_every_position_is_located(spark, tmp_path):
+    for name, n in (("corpus_a", 3), ("corpus_b", 0), ("documents", 2)):
+        spark.range(n).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {r.idx: (r.member, r.local_idx) for r in QUERIES["locate_positions"](spark, str(tmp_path)).collect()}
+    all_of = [("corpus_a", 0), ("corpus_a", 1), ("corpus_a", 2), ("documents", 0), ("documents", 1)]
+    assert got == dict(enumerate(all_of)) | dict(enumerate(all_of, -5)) | {5: (None, None), -6: (None, None)}
