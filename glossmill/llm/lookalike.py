@@ -12,7 +12,9 @@ letters all have look-alikes in the record's script is a whole-script
 confusable. Either is spelled in the record's script if all its letters exist
 there, else in the script that has most of its letters natively and
 look-alikes of the rest. Look-alikes within one script (capital I and small l)
-stay apart.
+stay apart. Kana, Bopomofo and single Hangul letters are spelled in Han where
+they have a Han look-alike, Katakana in Hiragana where they have one there: words
+of these scripts mix them without blanks, so no token tells which was meant.
 
 Which letters look alike comes from the skeletons of the ICU library that
 Spark ships, grouped by equal skeleton and equal general category.
@@ -48,7 +50,7 @@ _IGNORABLE = regex.compile(r"\p{Default_Ignorable_Code_Point}")
 _SCRIPT_TESTS = tuple((s, regex.compile(rf"\p{{Script_Extensions={s}}}")) for s in SCRIPTS)
 _FIXED = re.compile(r"[!-~À-ÖØ-öø-ı²³°]++(?: [!-~À-ÖØ-öø-ı²³°]++)*+")
 _FOREIGN = regex.compile(r"[^\P{L}\p{Latin}\p{Han}\p{Hiragana}\p{Katakana}\p{Bopomofo}\p{Hangul}]")
-_RADICAL = regex.compile(r"[⺀-⿟]")
+_EAST = regex.compile(r"[⺀-⿟ᄀ-ᇿ\u3040-\u318f\u31a0-\u31bf\u31f0-\u31ff\ua7f7]")
 _WORD = regex.compile(r"(?:[^\P{L}\p{Han}\p{Hiragana}\p{Katakana}\p{Bopomofo}]\p{M}*+)++")
 
 
@@ -107,7 +109,7 @@ _TABLE: list[Table] = []
 def lookalikes(spark: SparkSession) -> Table:
     """The look-alike letters, from ICU's skeletons; the fixed ones where ICU is missing."""
     if not _TABLE:
-        chars = [c for c in map(chr, range(0x41, 0x10000)) if unicodedata.category(c) in ("Lu", "Ll", "Lt", "So", "Nl") and not 0xD800 <= ord(c) < 0xE000]
+        chars = [c for c in map(chr, range(0x41, 0x10000)) if unicodedata.category(c) in ("Lu", "Ll", "Lt", "Lo", "So", "Nl") and not 0xD800 <= ord(c) < 0xE000]
         try:
             builder = getattr(spark._jvm.com.ibm.icu.text, "SpoofChecker$Builder")
             checker = builder().build()
@@ -118,11 +120,13 @@ def lookalikes(spark: SparkSession) -> Table:
         groups: dict[tuple[str, str], list[str]] = defaultdict(list)
         radicals = {}
         for c, s in skeletons.items():
-            if unicodedata.category(c) in ("Lu", "Ll", "Lt"):
+            if unicodedata.category(c) in ("Lu", "Ll", "Lt", "Lo"):
                 groups[s, unicodedata.category(c)].append(c)
             elif 0x2E80 <= ord(c) < 0x2FE0 and len(s) == 1 and scripts(s) & {"Han"}:
                 radicals[c] = s
-        _TABLE.append(table_from_groups(groups) | {"Han": radicals})
+        table = table_from_groups({k: members for k, members in groups.items() if len(members) > 1})
+        kana = {c: to for c, to in table.get("Hiragana", {}).items() if "Katakana" in scripts(c)}
+        _TABLE.append(table | {"Han": kana | table.get("Han", {}) | radicals})
     return _TABLE[0]
 
 
@@ -161,8 +165,8 @@ def plain_form(text: str, table: Table, default: str = "Latin") -> str:
     s = unicodedata.normalize("NFC", text.translate(_FORMS))
     if _FOREIGN.search(s):
         s = unicodedata.normalize("NFC", respell(s, table, default))
-    if (radicals := table.get("Han")) and _RADICAL.search(s):
-        s = "".join(radicals.get(c, c) for c in s)
+    if (east := table.get("Han")) and _EAST.search(s):
+        s = "".join(east.get(c, c) for c in s)
     return " ".join(s.split())
 
 
