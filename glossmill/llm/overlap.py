@@ -11,10 +11,11 @@ phrases. ``k`` is ``k_max`` for texts of ``3 k_max`` units and falls to 1 for
 short ones; texts on either side of a step carry both. Two texts of at most two
 units always lie within two edits and meet under one constant key.
 
-Joined seeds must lie within two diagonals of each other, and the texts'
+Each joined seed must lie within two diagonals in its two texts, and the texts'
 lengths and parity signatures (one bit per class of units, flipped by each
-occurrence) must allow two edits. What is left is chained and extended along
-the diagonals by alignment, which gives the exact distance.
+occurrence) must allow two edits. Seeds are not chained: a pair with
+one such seed is aligned over its whole texts by furthest-reaching diagonals,
+which gives the exact distance and stops beyond two edits.
 """
 
 from __future__ import annotations
