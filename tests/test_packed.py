@@ -3,7 +3,7 @@ import random
 import pytest
 import regex
 
-from glossmill.operators.packed import Dictionary, cover, learn_dictionary, split_field, split_packed, strip_brackets, values_column
+from glossmill.operators.packed import Dictionary, Lattice, learn_dictionary, segment, split_field, split_packed, strip_brackets, values_column
 
 VALUE = regex.compile(r"[\p{L}\p{M}\p{Nd}⁰¹²³⁴⁵⁶⁷⁸⁹\-+:.()。？！]")
 
@@ -89,19 +89,81 @@ def test_random_fields_equal_the_plain_reading():
         assert plain_reading(field) == want, field
 
 
+def in_lists(fields, automaton=None):
+    got = segment(fields, [automaton])
+    out = [[] for _ in fields]
+    for row, pos, v in zip(got.row, got.pos, got.items.to_pylist()):
+        assert pos == len(out[row])
+        out[row].append(v)
+    return out
+
+
 def test_random_characters_equal_the_plain_reading():
     g = random.Random(6)
-    for _ in range(5000):
-        field = "".join(g.choice("ab\"',; \\()[]，") for _ in range(g.randrange(0, 14)))
-        assert split_field(field) == plain_reading(field), field
+    fields = ["".join(g.choice("ab\"',; \\()[]，\x00 ä") for _ in range(g.randrange(0, 14))) for _ in range(20_000)]
+    for field, values in zip(fields, in_lists(fields)):
+        assert values == plain_reading(field), field
+
+
+def cheapest(s, words, unquoted):
+    """The least cost of any way to read ``s``, by trying all."""
+    best = {len(s): 0}
+    written = {q + b + q for w in words for q in "\"'" for b in {w.replace("\\", "\\\\").replace(q, "\\" + q), w.replace(q, q + q)}} | (set(words) if unquoted else set())
+    for i in range(len(s) - 1, -1, -1):
+        starts = i == 0 or not VALUE.match(s[i - 1])
+        hits = [(i + len(w), 9) for w in written if starts and s.startswith(w, i) and (s[i] in "\"'" or i + len(w) == len(s) or not VALUE.match(s[i + len(w)]))]
+        if s[i] in "\"'":
+            m = regex.compile(r'"(?:[^"\\]|\\.|"")*+"' if s[i] == '"' else r"'(?:[^'\\]|\\.|'')*+'", regex.S).match(s, i) if starts else None
+            tries = [(m.end(), 10)] if m else []
+            if hits or not m:
+                tries.append((i + 1, 1000))
+        else:
+            j = i
+            while j < len(s) and s[j] not in "\"'" and bool(VALUE.match(s[j])) == bool(VALUE.match(s[i])):
+                j += 1
+            tries = [(j, 10 if VALUE.match(s[i]) else 0)]
+        tries += hits
+        best[i] = min(c + best[j] for j, c in tries)
+    return best[0]
+
+
+@pytest.mark.parametrize("unquoted", [False, True])
+def test_the_cover_is_the_cheapest(unquoted):
+    g = random.Random(8)
+    words = ("a/b", "b, a", "a'b", 'b"', "，", "a")
+    known = Dictionary(words, unquoted)
+    for _ in range(3000):
+        s = strip_brackets("".join(g.choice(["a", "b", "a/b", "b, a", "'", '"', ", ", "/", "，", "\\"]) for _ in range(g.randrange(0, 9))))
+        lattice = Lattice([s])
+        start, end = lattice.cover(lattice.hits(known.automaton()))
+        written = [s[i:j] for i, j in zip(start, end)]
+        strays = sum(s.count(q) - sum(w.count(q) for w in written) for q in "\"'")
+        forms = {q + b + q for w in words for q in "\"'" for b in {w.replace("\\", "\\\\").replace(q, "\\" + q), w.replace(q, q + q)}} | (set(words) if unquoted else set())
+        assert 1000 * strays + sum(9 if w in forms else 10 for w in written) == cheapest(s, words, unquoted), s
 
 
 def test_dictionary_decides_and_protects():
     trap = Dictionary(("，",)).automaton()
-    assert cover('"a"，"b"', trap) == ["a", "b"]
-    free = Dictionary(("NEW YORK, NY", "NEW YORK"), unquoted=True)
-    assert split_field("A, NEW YORK, NY, B; NEW YORK", free.automaton(), True) == ["A", "NEW YORK, NY", "B", "NEW YORK"]
-    assert split_field("ANEW YORK", free.automaton(), True) == ["ANEW", "YORK"]
+    assert split_field('"a"，"b"', trap) == ["a", "b"]
+    assert split_field('"a/b"" c', Dictionary(("a/b",)).automaton()) == ["a/b", "c"] and split_field('"a/b"" c') == ["a", "b", "c"]
+    free = Dictionary(("NEW YORK, NY", "NEW YORK", "，", "a b/"), unquoted=True)
+    assert split_field("A, NEW YORK, NY, B; NEW YORK，x", free.automaton()) == ["A", "NEW YORK, NY", "B", "NEW YORK", "x"]
+    assert split_field("ANEW YORK a b/ c a b/d", free.automaton()) == ["ANEW", "YORK", "a b/", "c", "a", "b", "d"]
+    assert split_field("NEW YORK, NY B") == ["NEW", "YORK", "NY", "B"]
+
+
+@pytest.mark.parametrize("shard_bytes", [1, 12, 1 << 20])
+def test_rounds_of_several_dictionaries_give_the_same(spark, shard_bytes):
+    rows = [(i, "['I/II', 'K/L M', 'x, y']" if i % 3 == 0 else f"I/II; K/L M {i} x, y", None if i % 2 else "I/II") for i in range(60)]
+    df = spark.createDataFrame(rows, "rec_id bigint, f string, g string").repartition(3)
+    known = learn_dictionary(df, ["f", "g"], unquoted=True, shard_bytes=shard_bytes)
+    assert (len(known) > 1) == (shard_bytes < 1000) and sorted(v for d in known for v in d.values) == ["I/II", "K/L M", "x, y"]
+    got = {(r.field, r.rec_id, r.pos): r.item for r in split_packed(df, "rec_id", ["f", "g"], known).collect()}
+    for i in range(60):
+        want = ["I/II", "K/L M", "x, y"] if i % 3 == 0 else ["I/II", "K/L M", str(i), "x, y"]
+        assert [got.pop(("f", i, k)) for k in range(len(want))] == want
+        assert i % 2 or got.pop(("g", i, 0)) == "I/II"
+    assert not got
 
 
 def test_split_packed_keeps_order_and_reads_only_its_columns(spark):
@@ -117,7 +179,8 @@ def test_split_packed_keeps_order_and_reads_only_its_columns(spark):
 
 
 def test_learned_dictionary_holds_quoted_values_with_separators(spark):
-    df = spark.createDataFrame([("['I/II', 'A']",), ('"x, y" z',), ("plain / text",), (None,)], "f string")
-    assert set(learn_dictionary(df, ["f"]).values) == {"I/II", "x, y"}
-    assert len(learn_dictionary(df, ["f"], 1).values) == 1
-    assert [r[0] for r in df.select(values_column(df.f)).collect()] == [["I/II", "A"], ["x, y", "z"], ["plain", "text"], None]
+    df = spark.createDataFrame([("['I/II', 'A']",), ('"x, y" z',), ("plain / text",), ("",), (None,)], "f string")
+    (known,) = learn_dictionary(df, ["f"])
+    assert set(known.values) == {"I/II", "x, y"}
+    assert [r[0] for r in df.select(values_column(df.f, known)).collect()] == [["I/II", "A"], ["x, y", "z"], ["plain", "text"], [], None]
+    assert learn_dictionary(df.limit(0), ["f"])[0].values == ()
