@@ -52,6 +52,10 @@ def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.overlap_report(forms(spark, sf_dir, "split", "source"), UNITS)
 
 
+def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.overlap_records(forms(spark, sf_dir, "split", "source"), UNITS)
+
+
 def limits(spark: SparkSession, sf_dir: str, kind: str) -> list:
     """The rows of token_limits of one kind; the table is fixed at four rows."""
     return sorted(r for r in table(spark, sf_dir, "token_limits").collect() if r.limit_name.startswith(kind))
@@ -101,7 +105,7 @@ def p7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(spark, sf_dir, "")
 
 
-QUERIES = {"p1_found": p1_found, "p1_terms": p1_terms, "p2_found": p2_found, "p2_forms": p2_forms, "p4_found": p4_found, "p4_report": p4_report, "p5_containers": p5_containers, "p5_fill": p5_fill, "p6_mix": p6_mix, "p6_shares": p6_shares, "p7_found": p7_found, "p7_pieces": p7_pieces}
+QUERIES = {"p1_found": p1_found, "p1_terms": p1_terms, "p2_found": p2_found, "p2_forms": p2_forms, "p4_found": p4_found, "p4_records": p4_records, "p4_report": p4_report, "p5_containers": p5_containers, "p5_fill": p5_fill, "p6_mix": p6_mix, "p6_shares": p6_shares, "p7_found": p7_found, "p7_pieces": p7_pieces}
 
 _PLAIN = "nfc_normalize(lower(regexp_replace({}, '^\\s+|\\s+$', '', 'g')))"
 _TERMS = f"""

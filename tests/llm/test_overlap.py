@@ -37,10 +37,60 @@ def test_distance_equals_brute_force():
         assert overlap.distance(a, b) == (d if d <= 2 else None)
 
 
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def seeds_of(a, b, k):
+    at = {}
+    for i in range(len(a) - k + 1):
+        at.setdefault(tuple(a[i : i + k]), []).append(i)
+    return [(p[0], j, k) for j in range(len(b) - k + 1) if len(p := at.get(tuple(b[j : j + k]), [])) == 1]
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefghijklmnop"])
+def test_alignment_from_a_chain_is_exact(alphabet):
+    g = random.Random(3)
+    led = 0
+    for _ in range(4000):
+        a = [g.choice(alphabet) for _ in range(g.randrange(1, 25))]
+        b = edited(g, a, alphabet, g.randrange(0, 4))
+        if not b or a == b:
+            continue
+        d = levenshtein(a, b)
+        seeds = seeds_of(a, b, g.choice([1, 2, 3, 5]))
+        chain = overlap.chain_seeds(seeds)
+        assert all(a[i : i + n] == b[j : j + n] for i, j, n in chain)
+        assert all(i + n <= p and j + n <= q for (i, j, n), (p, q, _) in zip(chain, chain[1:]))
+        through = overlap.extend(a, b, chain)
+        led += through is not None and through[0] == d
+        assert through is None or (d <= through[0] <= 2 and all(a[i : i + n] == b[j : j + n] for i, j, n in through[1]))
+        got = overlap.compare(a, b, seeds)
+        if d > 2:
+            assert got is None
+            continue
+        assert got[0] == d
+        indels = len(a) - len(b)
+        assert got[1] == {1: {0: len(a) - 1, 1: len(a) - 1, -1: len(a)}, 2: {2: len(a) - 2, 1: len(a) - 2, -1: len(a) - 1, -2: len(a), 0: lcs(a, b) if lcs(a, b) == len(a) - 1 else len(a) - 2}}[d][indels]
+    assert led > 1000
+
+
+def test_seeds_off_the_alignment_do_not_lead_astray():
+    assert overlap.chain_seeds([(0, 5, 3), (4, 4, 3), (6, 6, 3), (8, 1, 3)]) == [(4, 4, 5)]
+    assert overlap.chain_seeds([]) == []
+    a, b = list("xabcabcabcy"), list("xabcabcaby")
+    assert overlap.compare(a, b, [(1, 3, 3)]) == (1, 10)
+
+
 @pytest.mark.parametrize("unit", ["char", "word"])
 def test_minima_of_two_texts_within_two_edits_meet(unit):
     g = random.Random(2)
-    counts = np.random.default_rng(0).integers(0, 50, 1 << overlap.BUCKET_BITS)
+    levels = np.random.default_rng(0).integers(0, 9, 1 << 16).astype(np.uint8)
     for trial in range(1500):
         alphabet = "ab" if trial % 3 else "abcdefghij"
         a = [g.choice(alphabet) for _ in range(g.randrange(1, 30))]
@@ -48,7 +98,7 @@ def test_minima_of_two_texts_within_two_edits_meet(unit):
         if not b:
             continue
         join = ("" if unit == "char" else " ").join
-        s = overlap.select_minima([join(a), join(b)], unit, 1, counts)
+        s = overlap.select_minima([join(a), join(b)], unit, 1, levels)
         assert set(s["hash"][s["row"] == 0]) & set(s["hash"][s["row"] == 1]), (a, b)
 
 
@@ -98,6 +148,8 @@ def test_pairs_equal_brute_force(spark):
     report = overlap.overlap_report(df, unit_of).collect()
     assert sum(r.pairs for r in report) == len(pairs)
     assert all(r.overlapping <= r.records and (r.coverage is None or 0 <= r.coverage <= 1) for r in report)
+    records = overlap.overlap_records(df, unit_of).collect()
+    assert sum(r.pairs for r in records) == len(pairs) and all(0 <= r.covered <= r.n_units for r in records)
     assert overlap.cross_split_pairs(df.limit(0), unit_of).count() == 0
 
 
@@ -108,3 +160,11 @@ def test_hot_copies_and_long_texts(spark):
     got = overlap.cross_split_pairs(df.unionByName(more), {"b": "word"})
     assert got.where("rec_a < 5000").count() == 3_999
     assert [(r.rec_a, r.rec_b, r.edits) for r in got.where("rec_a >= 5000").collect()] == [(5000, 5001, 1)]
+
+
+def test_frequent_fingerprints_are_dealt_into_parts(spark):
+    g = random.Random(9)
+    rows = [("b", i, "dev" if i % 5 == 0 else "train", None, " ".join(["der wind", g.choice("ab"), g.choice("abcdefgh"), g.choice("abcdefgh"), "weht heute"])) for i in range(150)]
+    rows += [("b", 1000 + i, "dev" if i % 3 == 0 else "train", None, f"kurz{i}") for i in range(30)]
+    got = overlap.cross_split_pairs(spark.createDataFrame(rows, "corpus string, rec_id bigint, split string, source string, form string"), {"b": "word"}, most=4)
+    assert {(r.corpus, r.rec_a, r.rec_b) for r in got.collect()} == brute(rows, {"b": "word"})
