@@ -92,20 +92,25 @@ def pieces(text: str, limit: int, overlap: int, path: str) -> list[tuple[int, in
     buf = np.frombuffer(raw, np.uint8)
     kinds, marks = boundaries(buf, at), landmarks(ids)
     room = limit - overlap - 4
-    while True:
-        spans = []
-        ends = cuts(marks, kinds, room // 2, room)
-        for a, b in zip(ends, ends[1:]):
-            start = a
-            if a:
-                start = a - overlap
-                while kinds[start] == 0:
-                    start -= 1
-            spans.append((int(at[start]), int(at[b])))
-        sizes = [len(e.encode_ordinary(raw[x:y].decode("utf-8", "replace"))) for x, y in spans]
-        if max(sizes) <= limit:
-            return [(x, y, n) for (x, y), n in zip(spans, sizes)]
-        room -= max(sizes) - limit
+    ends, done = cuts(marks, kinds, room // 2, room), []
+    for a, b in zip(ends, ends[1:]):
+        todo = [(a, b)]
+        while todo:
+            a, b = todo.pop()
+            start = max(a - overlap, 0) if a else 0
+            while kinds[start] == 0:
+                start -= 1
+            x, y = int(at[start]), int(at[b])
+            n = len(e.encode_ordinary(raw[x:y].decode("utf-8", "replace")))
+            # read alone, a piece can have more tokens than in its text; it is cut once more, its neighbours stay
+            inner = kinds[a + 1 : b]
+            if n <= limit or not len(inner) or not inner.max():
+                done.append((x, y, n))
+                continue
+            best = np.flatnonzero(inner == inner.max())
+            c = a + 1 + int(best[np.argmin(np.abs(best - len(inner) // 2))])
+            todo += [(c, b), (a, c)]
+    return done
 
 
 def split_oversized(df: DataFrame, key: str, text: str, limit: int, overlap: int, path: str) -> DataFrame:

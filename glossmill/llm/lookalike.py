@@ -38,12 +38,12 @@ from glossmill.operators.packed import _TOKEN, _unescape
 #: Scripts that tokens resolve to.
 SCRIPTS = (
     "Latin Greek Cyrillic Armenian Hebrew Arabic Devanagari Bengali Gurmukhi Gujarati Oriya Tamil Telugu Kannada Malayalam Sinhala "
-    "Thai Lao Tibetan Myanmar Georgian Hangul Ethiopic Cherokee Khmer Mongolian Hiragana Katakana Bopomofo Han Coptic Lisu Glagolitic Gothic"
+    "Thai Lao Tibetan Myanmar Georgian Hangul Ethiopic Cherokee Khmer Mongolian Hiragana Katakana Bopomofo Han Coptic Lisu Glagolitic Gothic "
+    "Adlam Bamum Canadian_Aboriginal Carian Caucasian_Albanian Cypriot Deseret Duployan Elbasan Lycian Lydian Miao Nko Ogham Old_Italic Old_Permic Osage "
+    "Osmanya Runic Shavian Syriac Thaana Tifinagh Vai Vithkuqi Warang_Citi Yi"
 ).split()
 #: Writing systems that mix scripts.
 AUGMENTED = {"Han": {"Hanb", "Jpan", "Kore"}, "Hiragana": {"Jpan"}, "Katakana": {"Jpan"}, "Hangul": {"Kore"}, "Bopomofo": {"Hanb"}}
-#: Letters taken as look-alikes where the ICU library is missing.
-BASIC = dict(zip("аеорсухіѕјһԁԛԝАВЕКМНОРСТУХІЅЈѴӓӧёЁοΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxisjhdqwABEKMHOPCTYXISJVäöëËoABEZHIKMNOPTYX"))
 
 _DROP_TAGS = ("<super>", "<sub>", "<fraction>", "<circle>", "<square>", "<font>", "<initial>", "<medial>", "<final>", "<isolated>", "<vertical>", "<small>")
 _IGNORABLE = regex.compile(r"\p{Default_Ignorable_Code_Point}")
@@ -107,16 +107,11 @@ _TABLE: list[Table] = []
 
 
 def lookalikes(spark: SparkSession) -> Table:
-    """The look-alike letters, from ICU's skeletons; the fixed ones where ICU is missing."""
+    """The look-alike letters of all of Unicode, from ICU's skeletons; without ICU an error."""
     if not _TABLE:
-        chars = [c for c in map(chr, range(0x41, 0x10000)) if unicodedata.category(c) in ("Lu", "Ll", "Lt", "Lo", "So", "Nl") and not 0xD800 <= ord(c) < 0xE000]
-        try:
-            builder = getattr(spark._jvm.com.ibm.icu.text, "SpoofChecker$Builder")
-            checker = builder().build()
-            got = checker.getSkeleton("\n".join(chars)).split("\n")
-            skeletons = dict(zip(chars, got, strict=True))
-        except Exception:
-            skeletons = {c: BASIC.get(c, c) for c in chars}
+        chars = [c for c in map(chr, range(0x41, 0x110000)) if unicodedata.category(c) in ("Lu", "Ll", "Lt", "Lo", "So", "Nl")]
+        checker = getattr(spark._jvm.com.ibm.icu.text, "SpoofChecker$Builder")().build()
+        skeletons = dict(zip(chars, checker.getSkeleton("\n".join(chars)).split("\n"), strict=True))
         groups: dict[tuple[str, str], list[str]] = defaultdict(list)
         radicals = {}
         for c, s in skeletons.items():

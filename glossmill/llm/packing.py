@@ -5,10 +5,10 @@ the least room that still holds it. A segment tree over the remaining
 capacities finds that room in logarithmic time. An item over the capacity is
 cut into full containers and a rest, and the rest is packed like any item.
 
-Items are dealt into shards by a hash of their key, so that a shard has the
-mixture of sizes of the whole, and each shard is packed in one task. A shard
-holds about ``per_shard`` items whatever the data, and wastes at most what its
-few last containers leave open.
+Items are dealt into shards by a hash of their row number, so that a shard has
+the mixture of sizes of the whole, and each shard is packed in one task. A shard
+holds about ``per_shard`` items whatever the data, also where most keys are null or
+the same, and wastes at most what its few last containers leave open.
 """
 
 from __future__ import annotations
@@ -85,14 +85,15 @@ def pack(items: DataFrame, key: str, size: str, capacity: int, per_shard: int =
 
     ``container`` is unique in the result. Items of null or no size take no
     room: one row with a null container. Repeated keys are items of their own;
-    a null key is kept. An empty table gives no rows.
+    a null key is kept. An empty table gives no rows. The same partitions of the
+    same rows give the same containers.
     """
     n = F.col("n")
     full = F.floor(n / capacity).cast("int")
     rest = (n % capacity).cast("int")
     pieces = F.when(n > 0, F.concat(F.array_repeat(F.lit(capacity), full), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>"))))
     cut = items.select(F.col(key).alias("key"), F.col(size).cast("bigint").alias("n")).select("key", F.posexplode_outer(pieces).alias("piece", "n"))
-    cut = materialize(cut.withColumn("piece", F.coalesce("piece", F.lit(0))), "items")
+    cut = materialize(cut.withColumns({"piece": F.coalesce("piece", F.lit(0)), "row": F.monotonically_increasing_id()}), "items")
     shards = max(1, math.ceil(cut.where("n is not null").count() / per_shard))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,12 +102,12 @@ def pack(items: DataFrame, key: str, size: str, capacity: int, per_shard: int =
         got = [b for b in batches if b.num_rows]
         if not got:
             return
-        t = pa.Table.from_batches(got).sort_by([("key", "ascending"), ("piece", "ascending")]).combine_chunks()
+        t = pa.Table.from_batches(got).sort_by([("key", "ascending"), ("piece", "ascending"), ("row", "ascending")]).drop_columns("row").combine_chunks()
         container = best_fit_decreasing(t["n"].to_numpy(), capacity) + (TaskContext.get().partitionId() << 32)
         yield from t.append_column("container", pa.array(container)).to_batches()
 
     kind = dict(cut.dtypes)["key"]
-    dealt = cut.where("n is not null").repartition(shards, F.xxhash64("key", "piece"))
+    dealt = cut.where("n is not null").repartition(shards, F.xxhash64("row"))
     packed = dealt.mapInArrow(run, f"key {kind}, piece int, n int, container bigint")
     none = cut.where("n is null").select("key", "piece", F.lit(0).alias("n"), F.lit(None).cast("bigint").alias("container"))
     return packed.unionByName(none).select(F.col("key").alias(key), "piece", F.col("n").alias(size), "container")

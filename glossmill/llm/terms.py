@@ -1,11 +1,13 @@
 """Frequency of every distinct term, from a vertical layout of compressed bitmaps.
 
-Records are numbered within their partition; each block of 65,536 numbers is
-one container key. Per term and key the positions of the records that hold
-the term are stored as a compressed bitmap: a sorted list of 16-bit positions
-up to 4,096 of them, 65,536 bits beyond. Beside each bitmap runs a counter of
-occurrences. Bitmaps of one key are merged by union, and a term's document
-frequency is the sum of the cardinalities.
+Records are numbered in blocks of 65,536, one container key each. A block takes
+its numbers from several slices of the input: the partition ``p`` fills the places
+from ``(p mod 4) * 16,384`` of the blocks of its group of four. Each slice builds,
+per term and key, a partial container of the places of its records that hold
+the term: a sorted list of 16-bit places up to 4,096 of them, 65,536 bits beyond.
+Beside each bitmap runs a counter of occurrences. The partial containers of a
+key are merged by union, their counters by sum, and a term's document frequency
+is the sum of the cardinalities of the merged ones.
 
 A term that a third of all records hold is as many containers as there are
 blocks, each of at most 8 KB; no group grows with the data.
@@ -27,8 +29,11 @@ from glossmill.llm.identity import fingerprint
 from glossmill.session import materialize
 
 BLOCK = 65_536
+#: Slices of the input that share a block, and the places of one of them.
+SLICES = 4
+PLACES = BLOCK // SLICES
 SPARSE = 4_096
-#: A block is closed early at so many entries, which bounds the memory of a task.
+#: A slice of a block is closed early at so many entries, which bounds the memory of a task.
 MAX_ENTRIES = 4_000_000
 
 
@@ -77,7 +82,8 @@ def union_bitmaps(col: pa.Array) -> pa.Array:
 def _containers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    key = TaskContext.get().partitionId() << 32
+    group, slice_ = divmod(TaskContext.get().partitionId(), SLICES)
+    key, offset = group << 32, slice_ * PLACES
     codes: dict[str, int] = {}
     parts: list[np.ndarray] = []
     filled = entries = 0
@@ -97,17 +103,17 @@ def _containers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         col, done = batch.column(0), 0
         while done < len(col):
-            part = col.slice(done, min(len(col) - done, BLOCK - filled, 1024))
+            part = col.slice(done, min(len(col) - done, PLACES - filled, 1024))
             values = part.flatten().dictionary_encode()
             own = np.array([-1 if (t := plain_term(v)) is None else codes.setdefault(t, len(codes)) for v in values.dictionary.to_pylist()] + [-1], np.int64)
             index = own[values.indices.fill_null(len(own) - 1).to_numpy(zero_copy_only=False)]
             sizes = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            where = np.repeat(np.arange(filled, filled + len(part)), sizes)
+            where = np.repeat(np.arange(offset + filled, offset + filled + len(part)), sizes)
             parts.append((index << 16 | where)[index >= 0])
             entries += len(parts[-1])
             filled += len(part)
             done += len(part)
-            if filled == BLOCK or entries >= MAX_ENTRIES:
+            if filled == PLACES or entries >= MAX_ENTRIES:
                 yield close()
                 key, filled, entries = key + 1, 0, 0
                 codes, parts = {}, []
@@ -118,8 +124,9 @@ def _containers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def vertical_index(records: DataFrame, terms: str) -> DataFrame:
     """``(term, key, occurrences, bitmap)`` of a table with one row per record.
 
-    A row with a null term has the number of records of its key. Null lists and
-    null or blank entries hold no term, but their records count.
+    The containers are partial: up to ``SLICES`` of one term and key, with disjoint
+    places. A row with a null term has the number of records of its slice of the
+    key. Null lists and null or blank entries hold no term, but their records count.
     """
     return records.select(F.col(terms).alias("terms")).mapInArrow(_containers, "term string, key bigint, occurrences bigint, bitmap binary")
 

@@ -72,3 +72,24 @@ def test_split_oversized(spark):
     assert chunking.split_oversized(df.limit(0), "doc_id", "text", 256, 32, PATH).count() == 0
     with pytest.raises(ValueError):
         chunking.split_oversized(df, "doc_id", "text", 100, 50, PATH)
+
+
+def test_a_piece_that_grows_alone_is_cut_without_its_neighbours(monkeypatch):
+    text = " ".join(f"wort{i}." for i in range(3000))
+    path = tokens.DEFAULT_VOCABULARY
+    before = chunking.pieces(text, 200, 16, path)
+    grown, real = set(), chunking.encoding(path)
+
+    class Grows:
+        """Counts one piece, met a second time, as too large."""
+
+        def encode_ordinary(self, t):
+            ids = real.encode_ordinary(t)
+            return ids + [0] * 200 if t in grown else ids
+
+    raw = text.encode()
+    grown.add(raw[before[3][0] : before[3][1]].decode())
+    monkeypatch.setattr(chunking, "encoding", lambda _: Grows())
+    after = chunking.pieces(text, 200, 16, path)
+    assert len(after) == len(before) + 1 and after[:3] == before[:3] and after[5:] == before[4:]
+    assert after[3][0] == before[3][0] and after[4][1] == before[3][1] and all(n <= 200 for _, _, n in after)

@@ -53,8 +53,11 @@ def test_foreign_text_keeps_its_script(table):
     assert lookalike.plain_form("καλημέρα σου", table) == "καλημέρα σου"
 
 
+BASIC = dict(zip("аеорсухіѕјһԁԛԝАВЕКМНОРСТУХІЅЈѴӓӧёЁοΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxisjhdqwABEKMHOPCTYXISJVäöëËoABEZHIKMNOPTYX"))
+
+
 def test_basic_letters_agree_with_the_library(table):
-    for c, to in lookalike.BASIC.items():
+    for c, to in BASIC.items():
         assert table["Latin"].get(c) == to, c
 
 
@@ -83,3 +86,8 @@ def test_columns(spark):
     df = spark.createDataFrame([("['ｗ', 'і']",), (None,), ("[]",)], "t string")
     got = [tuple(r) for r in df.select(lookalike.plain_column(spark, df.t, literal=True), lookalike.joined_column(df.t)).collect()]
     assert got == [("wi", "ｗі"), (None, None), ("", "")]
+
+
+def test_letters_beyond_the_basic_plane(spark):
+    table = lookalike.lookalikes(spark)
+    assert table["Latin"]["𐐬"] == "o" and lookalike.plain_form("w𐐬rt", table) == "wort"

@@ -56,7 +56,7 @@ def test_blocks_close_early_and_at_their_size(spark, monkeypatch):
     index = terms.vertical_index(df, "lemmas")
     keys = index.where("term = 'hot'").count()
     got = {r.term: (r.n, r.d) for r in terms.merge_indexes(index).groupBy("term").agg({"occurrences": "sum", "n_records": "sum"}).toDF("term", "n", "d").collect()}
-    assert keys == 2 and got["hot"] == (140_000, 70_000) and got["t0"] == (10_000, 10_000)
+    assert keys == 5 and got["hot"] == (140_000, 70_000) and got["t0"] == (10_000, 10_000)
 
 
 def test_indexes_over_the_same_records_merge_by_union(spark):
@@ -71,3 +71,14 @@ def test_no_records(spark):
     names = spark.createDataFrame([("Neu",)], "lemma string")
     assert found(terms.term_frequencies(df, "sentence", "lemmas", [names])) == {"neu": (0, 0, "rare")}
     assert found(terms.term_frequencies(df, "sentence", "lemmas")) == {}
+
+
+def test_partial_containers_of_a_block_are_merged_by_union(spark):
+    rows = [(["hot", "hot"] if i % 2 else ["hot", f"t{i % 3}"],) for i in range(20_000)]
+    index = terms.vertical_index(spark.createDataFrame(rows, "lemmas array<string>").repartition(8), "lemmas").where("term is not null").cache()
+    partial = {(r.term, r.key): r["count"] for r in index.groupBy("term", "key").count().collect()}
+    assert len({k for _, k in partial}) == 2 and set(partial.values()) == {terms.SLICES}
+    merged = terms.merge_indexes(index).collect()
+    assert {(r.term, r.key) for r in merged} == set(partial)
+    assert sum(r.n_records for r in merged if r.term == "hot") == 20_000 and sum(r.occurrences for r in merged if r.term == "hot") == 30_000
+    assert all(terms.cardinality(bytes(r.bitmap)) == r.n_records for r in merged)
