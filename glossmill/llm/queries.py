@@ -78,13 +78,17 @@ def p5_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def p6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = mixing.Targets.of(table(spark, sf_dir, "mix_targets").select("source", "target_share", "max_repeats").collect())
     return mixing.mix_sources(_documents(spark, sf_dir, "doc_id", "source", "text"), "doc_id", "source", "text", targets, tokens.vocabulary(spark))
 
 
+def p6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir).drop("posterior")
+
+
 def p6_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.share_report(p6_mix(spark, sf_dir), "source", table(spark, sf_dir, "mix_targets"))
+    return mixing.share_report(materialize(_mix(spark, sf_dir), "mix"), "source", table(spark, sf_dir, "mix_targets"))
 
 
 def _pieces(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
