@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.llm import chunking, identity, lookalike, mixing, overlap, packing, terms, tokens
+from glossmill.llm.oracles import ORACLES  # noqa: F401
 from glossmill.session import materialize, spread, table
 
 
@@ -109,23 +110,47 @@ def p7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(spark, sf_dir, "")
 
 
-QUERIES = {"p1_found": p1_found, "p1_terms": p1_terms, "p2_found": p2_found, "p2_forms": p2_forms, "p4_found": p4_found, "p4_records": p4_records, "p4_report": p4_report, "p5_containers": p5_containers, "p5_fill": p5_fill, "p6_mix": p6_mix, "p6_shares": p6_shares, "p7_found": p7_found, "p7_pieces": p7_pieces}
-
-_PLAIN = "nfc_normalize(lower(regexp_replace({}, '^\\s+|\\s+$', '', 'g')))"
-_TERMS = f"""
-WITH records AS (SELECT sentence, max(lemmas) AS lemmas FROM dict_sentence GROUP BY sentence),
-entries AS (SELECT sentence, {_PLAIN.format("l")} AS lemma FROM (SELECT sentence, unnest(lemmas) AS l FROM records)),
-every AS (
-  SELECT lemma, count(*) AS n, count(DISTINCT sentence) AS n_records FROM entries GROUP BY lemma
-  UNION ALL SELECT {_PLAIN.format("lemma")}, 0, 0 FROM dict_lem_counter
-  UNION ALL SELECT {_PLAIN.format("lemma")}, 0, 0 FROM dict_lem_to_id
-), total AS (SELECT lemma, sum(n)::BIGINT AS n, sum(n_records)::BIGINT AS n_records FROM every WHERE lemma <> '' GROUP BY lemma),
-marked AS (
-  SELECT lemma, n, n_records, CASE WHEN n_records < 3 THEN 'rare'
-    WHEN n::DOUBLE / (SELECT count(*) FROM records) >= 0.4::DOUBLE THEN 'common' END AS mark FROM total
-)"""
-
-ORACLES = {
-    "p1_terms": f"{_TERMS} SELECT lemma, n, n_records, mark FROM marked",
-    "p1_found": f"{_TERMS} SELECT lemma, mark FROM marked WHERE mark IS NOT NULL",
-}
+def p5_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per capacity: the documents placed, containers over it, texts cut that fit, and whether nine tenths of the room are used."""
+    packed = materialize(p5_containers(spark, sf_dir), "packed")
+    capacity = table(spark, sf_dir, "token_limits").select("limit_name", F.col("max_tokens").cast("bigint").alias("room"))
+    boxes = packed.where("container is not null").groupBy("limit_name", "container").agg(F.sum("n_tokens").alias("used")).join(capacity, "limit_name")
+    boxes = boxes.groupBy("limit_name").agg(F.sum((F.col("used") > F.col("room")).cast("bigint")).alias("overfull"), (F.sum("used") >= 0.9 * F.sum("room")).alias("full"))
+    texts = packed.groupBy("limit_name", "doc_id").agg(F.count("*").alias("pieces"), F.sum("n_tokens").alias("tokens")).join(capacity, "limit_name")
+    texts = texts.groupBy("limit_name").agg(F.count("*").alias("documents"), F.sum(((F.col("pieces") > 1) & (F.col("tokens") <= F.col("room"))).cast("bigint")).alias("cut"))
+    return texts.join(boxes, "limit_name").select("limit_name", "documents", "overfull", "cut", "full")
+
+
+def p6_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per listed source: documents used that are not its own, used too often, and whether more tokens came out than wanted."""
+    mixed = materialize(_mix(spark, sf_dir), "mix")
+    targets = table(spark, sf_dir, "mix_targets").select("source", "max_repeats")
+    own = table(spark, sf_dir, "documents").select("doc_id", "source", F.lit(1).alias("own"))
+    joined = mixed.join(own, ["doc_id", "source"], "left").join(F.broadcast(targets), "source")
+    n = lambda c: F.sum(c.cast("bigint"))
+    per = joined.groupBy("source").agg(n(F.col("own").isNull()).alias("foreign"), n(F.col("copies") > F.col("max_repeats")).alias("repeated"), (F.sum(F.col("n_tokens") * F.col("copies")) > F.max("wanted")).alias("over"))
+    zero = {"foreign": F.coalesce("foreign", F.lit(0)), "repeated": F.coalesce("repeated", F.lit(0)), "over": F.coalesce("over", F.lit(False))}
+    return targets.select("source").join(per, "source", "left").withColumns(zero)
+
+
+def p7_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per size and document: a digest of the text put together again from its pieces, whether all are within the size, and whether each shares text with the one before."""
+    pieces = materialize(p7_pieces(spark, sf_dir), "pieces")
+    sizes = F.explode(F.array(*[F.struct(F.lit(r.limit_name).alias("limit_name"), F.lit(r.max_tokens).alias("max_tokens")) for r in limits(spark, sf_dir, "piece")]))
+    rows = F.array_sort(F.collect_list(F.struct("piece", "first_char", "n_chars", "n_tokens", "text")))
+    per = pieces.groupBy("limit_name", "doc_id").agg(rows.alias("p"))
+    end = lambda x: x["first_char"] + x["n_chars"]
+    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("end"), F.lit(True).alias("shared"))
+    whole = F.aggregate("p", start, lambda s, x: F.struct(F.concat(s["text"], x["text"].substr(s["end"] - x["first_char"] + 1, x["n_chars"])).alias("text"), end(x).alias("end"), (s["shared"] & ((x["piece"] == 0) | (x["first_char"] < s["end"]))).alias("shared")))
+    cut = per.select("limit_name", "doc_id", whole.alias("w"), F.array_max(F.transform("p", lambda x: x["n_tokens"])).alias("largest"))
+    every = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text", sizes.alias("size")).select("doc_id", "text", "size.*")
+    joined = every.join(cut, ["limit_name", "doc_id"], "left")
+    return joined.select("limit_name", "doc_id", F.md5(F.coalesce("w.text", "text")).alias("digest"), (F.coalesce("largest", F.lit(0)) <= F.col("max_tokens")).alias("within"), F.coalesce("w.shared", F.lit(True)).alias("shared"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        p1_found, p1_terms, p2_found, p2_forms, p4_found, p4_records, p4_report, p5_containers, p5_fill, p5_checked, p6_mix, p6_shares, p6_checked, p7_found, p7_pieces, p7_checked,
+    )
+}
