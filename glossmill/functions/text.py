@@ -20,10 +20,30 @@ WESTERN = [
 INTERNATIONAL = [(r"([^\p{Nd}])(\p{P})", "$1 $2 "), (r"(\p{P})([^\p{Nd}])", " $1 $2"), (r"(\p{S})", " $1 ")]
 #: Ranges whose characters the Chinese tokenizer isolates. The two ranges from 2001 and 2F81 stand where
 #: supplementary planes were meant; they are kept as they are.
-ISOLATED = (
-    "3400-4DB5 4E00-9FA5 9FA6-9FBB F900-FA2D FA30-FA6A FA70-FAD9 2001-2A6D 2F81-2FA1 FF00-FFEF 2E80-2EFF 3000-303F "
-    "31C0-31EF 2F00-2FDF 2FF0-2FFF 3100-312F 31A0-31BF FE10-FE1F FE30-FE4F 2600-26FF 2700-27BF 3200-32FF 3300-33FF"
-).split()
+ISOLATED = [
+    (0x3400, 0x4DB5),
+    (0x4E00, 0x9FA5),
+    (0x9FA6, 0x9FBB),
+    (0xF900, 0xFA2D),
+    (0xFA30, 0xFA6A),
+    (0xFA70, 0xFAD9),
+    (0x2001, 0x2A6D),
+    (0x2F81, 0x2FA1),
+    (0xFF00, 0xFFEF),
+    (0x2E80, 0x2EFF),
+    (0x3000, 0x303F),
+    (0x31C0, 0x31EF),
+    (0x2F00, 0x2FDF),
+    (0x2FF0, 0x2FFF),
+    (0x3100, 0x312F),
+    (0x31A0, 0x31BF),
+    (0xFE10, 0xFE1F),
+    (0xFE30, 0xFE4F),
+    (0x2600, 0x26FF),
+    (0x2700, 0x27BF),
+    (0x3200, 0x32FF),
+    (0x3300, 0x33FF),
+]
 
 SPACES = r"(?U)\s+"
 
@@ -43,10 +63,6 @@ def delete_spaces(c: Column) -> Column:
     return F.regexp_replace(c, SPACES, "")
 
 
-def tokenize_none(c: Column) -> Column:
-    return c
-
-
 def tokenize_13a(c: Column) -> Column:
     """Western text: punctuation apart, periods and commas inside numbers kept."""
     for old, new in ENTITIES:
@@ -60,7 +76,7 @@ def tokenize_intl(c: Column) -> Column:
 
 
 def isolated_class() -> str:
-    return "[" + "".join(f"\\x{{{a}}}-\\x{{{b}}}" for a, b in (r.split("-") for r in ISOLATED)) + "]"
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ISOLATED) + "]"
 
 
 def tokenize_zh(c: Column) -> Column:
@@ -68,7 +84,7 @@ def tokenize_zh(c: Column) -> Column:
     return squeeze(_each(F.regexp_replace(F.trim(c), f"({isolated_class()})", " $1 "), WESTERN))
 
 
-TOKENIZERS: dict[str, Callable[[Column], Column]] = {"none": tokenize_none, "13a": tokenize_13a, "intl": tokenize_intl, "zh": tokenize_zh}
+TOKENIZERS: dict[str, Callable[[Column], Column]] = {"none": lambda c: c, "13a": tokenize_13a, "intl": tokenize_intl, "zh": tokenize_zh}
 
 
 def words(c: Column) -> Column:
@@ -103,10 +119,6 @@ def joined_literal(c: Column) -> Column:
     return F.array_join(list_literal(c), "")
 
 
-def lower(c: Column) -> Column:
-    return F.lower(c)
-
-
 def segment_text(c: Column) -> Column:
     """The text of a ``<seg>`` element, squeezed; the whole line where it has none."""
     return squeeze(F.coalesce(F.nullif(F.regexp_extract(c, r"(?is)<seg[^>]*>(.*?)</seg>", 1), F.lit("")), c))

@@ -33,9 +33,13 @@ def score() -> Column:
     return f_beta(mean("hyp"), mean("ref"), BETA)
 
 
+def with_statistics(pairs: DataFrame, hyp: str, ref: str) -> DataFrame:
+    """``pairs`` with the statistics of each; pairs with a null side are left out. White space does not count."""
+    kept = pairs.where(F.col(hyp).isNotNull() & F.col(ref).isNotNull())
+    return kept.withColumn("_s", statistics(delete_spaces(F.col(hyp)), delete_spaces(F.col(ref)))).select(*[c for c in pairs.columns if c not in COUNTS], "_s.*")
+
+
 def chrf(pairs: DataFrame, hyp: str, ref: str, by: list[str] | None = None, digits: int = 6) -> DataFrame:
     """One row per group. White space does not count; pairs with a null side are left out."""
-    kept = pairs.where(F.col(hyp).isNotNull() & F.col(ref).isNotNull())
-    got = kept.withColumn("_s", statistics(delete_spaces(F.col(hyp)), delete_spaces(F.col(ref)))).select(*(by or []), "_s.*")
-    sums = got.groupBy(*(by or [])).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS])
+    sums = with_statistics(pairs, hyp, ref).groupBy(*(by or [])).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS])
     return sums.select(*(by or []), F.round(score(), digits).alias("chrf"))

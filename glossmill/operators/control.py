@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed values of checkpoint names.
@@ -84,15 +84,41 @@ def flattened_metrics(df: DataFrame, keys: list[str], metrics: str = "metrics")
     return outer.select(*keys, "k", F.explode("inner").alias("k2", "value")).select(*keys, F.when(F.col("k2") == "", F.col("k")).otherwise(F.concat_ws("_", "k", "k2")).alias("metric"), "value")
 
 
-def running_best(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
-    """``df`` with the greatest value so far."""
-    return df.withColumn("best", F.max(value).over(Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
-
-
 def mean_of_max(df: DataFrame, group: str, value: str) -> DataFrame:
     """The mean over the groups of their greatest value."""
     return df.groupBy(group).agg(F.max(value).alias("m")).agg(F.round(F.avg("m"), 6).alias("mean_of_max"))
 
 
+def epoch_means(losses: DataFrame, epoch: str, named: list[str], prefix: str = "avg_") -> DataFrame:
+    """``(<epoch>, name, mean, n)``: the mean of each named loss over the iterations of each epoch, and their number.
+
+    Nulls do not count; a name without a value in an epoch has no row. The sums of
+    an epoch are combined before the shuffle.
+    """
+    each = losses.select(epoch, F.explode(F.array(*[F.struct(F.lit(f"{prefix}{c}").alias("name"), F.col(c).cast("double").alias("value")) for c in named])).alias("l")).select(epoch, "l.*")
+    return each.where("value is not null").groupBy(epoch, "name").agg(F.avg("value").alias("mean"), F.count("*").alias("n"))
+
+
+def learning_rate(name: str, it: Column, **params) -> Column | None:
+    """A schedule by its name, as a column over the iteration (``step``: over the epoch; the plateau ones: over an array of metric values); None for ``none``."""
+    known = {"cosine": cosine_lr, "warmupwithcosine": warmup_cosine_lr, "step": multistep_lr, "reduceonplateau": plateau_lr, "customreduceonplateau": plateau_lr}
+    if name == "none":
+        return None
+    if name not in known:
+        raise KeyError(f"{name} is no schedule; known: {', '.join(sorted([*known, 'none']))}")
+    return known[name](it, **params)
+
+
+def keep_one(df: DataFrame, best: DataFrame, path: str) -> DataFrame:
+    """The paths of ``df`` that are no longer needed once ``best``, one row, is kept."""
+    return df.join(best.select(F.col("path").alias(path)), path, "left_anti")
+
+
+def bleu_line(scores: list[Column], precisions: list[Column], bp: Column, sys_len: Column, ref_len: Column) -> Column:
+    """The scores, precisions, brevity penalty, length ratio and lengths of BLEU in one line."""
+    joined = lambda cs, form: F.concat_ws("/", *[F.format_string(form, c) for c in cs])
+    return F.format_string("BLEU = %s %s (BP = %.3f ratio = %.3f hyp_len = %d ref_len = %d)", joined(scores, "%.2f"), joined(precisions, "%.1f"), bp, sys_len / ref_len, sys_len, ref_len)
+
+
 def score_line(name: str, score: Column, digits: int = 2) -> Column:
     return F.format_string(f"{name} = %.{digits}f", score)

@@ -74,6 +74,12 @@ def ce_loss(logits: DataFrame, keys: list[str], smoothing: float = 0.1) -> DataF
     return per.where("hit is not null").agg(F.round(F.avg(loss), 6).alias("ce"))
 
 
+def mean_ce(positions: DataFrame, smoothing: float = 0.1) -> DataFrame:
+    """The same loss from the sums of each position, ``(lse, mean, hit)``; positions without a target class are left out."""
+    loss = F.col("lse") - (1 - smoothing) * F.col("hit") - smoothing * F.col("mean")
+    return positions.where("hit is not null").agg(F.round(F.avg(loss), 6).alias("ce"))
+
+
 def weighted_loss(losses: dict[str, Column], weights: dict[str, float]) -> Column:
     """Sum of the named losses by their weights; a name without weight counts once."""
     total = F.lit(0.0)

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossmill.operators.sequence import _ordered
+from pyspark.sql import types as T
+
+from glossmill.functions.ngrams import overlaps, word_codes
+from glossmill.operators.sequence import _ordered, global_index
 
 
 def bag_union(*parts: DataFrame) -> DataFrame:
@@ -28,9 +33,30 @@ def bag_intersection(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def bag_overlap(a: Column, b: Column) -> Column:
-    """The size of the multiset intersection of two word lists of a row: matching words after each is numbered among its equals."""
-    numbered = lambda c: F.transform(F.array_sort(c), lambda x, i: F.concat_ws("\x00", x, (i - F.array_position(F.array_sort(c), x)).cast("string")))
-    return F.size(F.array_intersect(numbered(a), numbered(b)))
+    """The size of the multiset intersection of two word lists of a row; null entries are left out, null lists are empty."""
+    return _common(*[F.coalesce(F.filter(c, lambda x: x.isNotNull()), F.array().cast("array<string>")) for c in (a, b)])
+
+
+@F.arrow_udf(T.IntegerType())
+def _common(a: pa.Array, b: pa.Array) -> pa.Array:
+    sizes = np.concatenate([x.value_lengths().to_numpy(zero_copy_only=False) for x in (a, b)]).astype(np.int64)
+    common, _, _ = overlaps(word_codes(a.flatten(), b.flatten()), sizes, len(a), np.arange(len(a)), 1)
+    return pa.array(common[:, 0].astype(np.int32))
+
+
+def paired(hyp: DataFrame, ref: DataFrame, order: list[str], strict: bool = True, place: str = "idx") -> DataFrame:
+    """The rows of two tables side by side by their place in the order of ``order``, which both have; ``place`` is that place, from 0.
+
+    The columns of ``hyp`` come with ``hyp_`` and those of ``ref`` with ``ref_``
+    before their names. Where one table is longer, evaluation fails if
+    ``strict``, else its further rows are left out. Two empty tables give no rows.
+    """
+    x, y = (global_index(df, *order, name="_i").select(F.col("_i"), F.struct(*df.columns).alias(side)) for df, side in ((hyp, "_h"), (ref, "_r")))
+    both = x.join(y, "_i", "full" if strict else "inner")
+    here = F.col("_i")
+    if strict:
+        here = F.when(F.col("_h").isNull() | F.col("_r").isNull(), F.raise_error(F.lit("the tables differ in length"))).otherwise(here)
+    return both.select(here.alias(place), *[F.col(f"_h.{c}").alias(f"hyp_{c}") for c in hyp.columns], *[F.col(f"_r.{c}").alias(f"ref_{c}") for c in ref.columns])
 
 
 def not_yet_in(df: DataFrame, key: str, existing: DataFrame, existing_key: str) -> DataFrame:

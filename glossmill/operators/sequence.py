@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,13 +158,13 @@ def _ordered(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
     return materialize(run.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "ordered")
 
 
-def _before(sizes: dict[int, int]) -> Column:
-    """What lies before each partition, as a column over ``_part``."""
+def _with_before(run: DataFrame, sizes: dict[int, int]) -> DataFrame:
+    """``run`` with ``_before``, what lies before each partition: a join with one row per partition."""
     starts, total = [], 0
-    for p in range(max(sizes, default=-1) + 1):
-        starts.append(total)
-        total += sizes.get(p) or 0
-    return F.element_at(F.array(*[F.lit(s).cast("bigint") for s in starts or [0]]), F.col("_part") + 1)
+    for p in sorted(sizes):
+        starts.append((p, total))
+        total += sizes[p] or 0
+    return run.join(F.broadcast(run.sparkSession.createDataFrame(starts, "_part int, _before bigint")), "_part")
 
 
 def global_index(df: DataFrame, *order: str, name: str = "idx") -> DataFrame:
@@ -171,7 +175,7 @@ def global_index(df: DataFrame, *order: str, name: str = "idx") -> DataFrame:
     """
     run = _ordered(df, order)
     sizes = {r[0]: r[1] for r in run.groupBy("_part").count().collect()}
-    return run.withColumn(name, _before(sizes) + F.col("_at")).drop("_part", "_at")
+    return _with_before(run, sizes).withColumn(name, F.col("_before") + F.col("_at")).drop("_part", "_at", "_before")
 
 
 def prefix_offsets(df: DataFrame, size: str, *order: str) -> DataFrame:
@@ -179,7 +183,7 @@ def prefix_offsets(df: DataFrame, size: str, *order: str) -> DataFrame:
     run = _ordered(df.withColumn(size, F.coalesce(size, F.lit(0)).cast("bigint")), order)
     sums = {r[0]: r[1] for r in run.groupBy("_part").agg(F.sum(size)).collect()}
     inner = F.sum(size).over(Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
-    return run.withColumn("end", _before(sums) + inner).withColumn("start", F.col("end") - F.col(size)).drop("_part", "_at")
+    return _with_before(run, sums).withColumn("end", F.col("_before") + inner).withColumn("start", F.col("end") - F.col(size)).drop("_part", "_at", "_before")
 
 
 def concatenated(members: list[tuple[str, DataFrame]], key: str) -> DataFrame:
@@ -193,24 +197,43 @@ def concatenated(members: list[tuple[str, DataFrame]], key: str) -> DataFrame:
     return indexed.join(F.broadcast(first), "_m").select("idx", "member", (F.col("idx") - F.col("_first")).alias("local_idx"), key)
 
 
-#: Most members that positions are looked up in.
+#: Most members that are sent to every task; of more, positions are found by sorting both together.
 MAX_MEMBERS = 100_000
 
 
-def locate(queries: DataFrame, sizes: DataFrame) -> DataFrame:
+def locate(queries: DataFrame, sizes: DataFrame, most: int = MAX_MEMBERS) -> DataFrame:
     """``(idx, member, local_idx)`` of ordinals into members laid end to end; negative ones count from the end, others out of range have nulls.
 
-    ``sizes (member_no, member, size)`` has a row per member, not per element;
-    its running totals are the ranges of the join. Their number is checked.
+    ``sizes (member_no, member, size)`` has a row per member, not per element. Up
+    to ``most`` members are sent to every task, which searches their sorted
+    starts; more are sorted together with the ordinals, and each ordinal takes
+    the last member that starts at or before it. Null ordinals are out of range.
     """
-    if sizes.limit(MAX_MEMBERS + 1).count() > MAX_MEMBERS:
-        raise ValueError(f"more than {MAX_MEMBERS} members")
-    w = Window.orderBy("member_no")
-    ends = sizes.withColumn("end", F.sum("size").over(w)).withColumn("start", F.col("end") - F.col("size"))
-    total = ends.agg(F.max("end").alias("total"))
-    at = queries.join(F.broadcast(total.withColumn("one", F.lit(1))), F.col("one") == 1).withColumn("at", F.when(F.col("idx") < 0, F.col("idx") + F.col("total")).otherwise(F.col("idx")))
-    r = F.broadcast(ends)
-    return at.join(r, (at["at"] >= r["start"]) & (at["at"] < r["end"]), "left").select("idx", "member", (F.col("at") - F.col("start")).alias("local_idx"))
+    laid = prefix_offsets(sizes, "size", "member_no", "member").where("size > 0").select("start", "end", F.col("member").cast("string").alias("member"))
+    number, total = laid.agg(F.count("*"), F.coalesce(F.max("end"), F.lit(0))).first()
+    at = F.when(F.col("idx") < 0, F.col("idx") + total).otherwise(F.col("idx"))
+    asked = queries.select(F.col("idx").cast("bigint").alias("idx"), at.cast("bigint").alias("at"))
+    if number > most:
+        from glossmill.operators.relations import carried
+
+        starts = laid.select(F.lit(None).cast("bigint").alias("idx"), F.col("start").alias("at"), F.struct("member", "start", "end").alias("m"), F.lit(0).alias("is_query"))
+        both = starts.unionByName(asked.select("*", F.lit(None).cast(starts.schema["m"].dataType).alias("m"), F.lit(1).alias("is_query")))
+        got = carried(both.withColumn("all", F.lit(0)), "all", ["at", "is_query"], F.col("m"), "c").where("is_query = 1")
+        inside = F.col("at") < F.col("c.end")
+        return got.select("idx", F.when(inside, F.col("c.member")).alias("member"), F.when(inside, F.col("at") - F.col("c.start")).alias("local_idx"))
+    rows = laid.orderBy("start").toArrow()
+    held = queries.sparkSession.sparkContext.broadcast((rows["start"].to_numpy(), rows["member"].combine_chunks()))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, members = held.value
+        for batch in batches:
+            place = batch.column(1).fill_null(-1).to_numpy()
+            inside = (place >= 0) & (place < total)
+            m = np.searchsorted(starts, place, side="right") - 1
+            local = place - (starts[m] if len(starts) else 0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), members.take(pa.array(m, mask=~inside)), pa.array(local, mask=~inside)], names=["idx", "member", "local_idx"])
+
+    return asked.mapInArrow(run, "idx bigint, member string, local_idx bigint")
 
 
 def batches(df: DataFrame, size: int, *order: str, drop_last: bool = True) -> DataFrame:
@@ -263,3 +286,22 @@ def until(ids: Column, end: int) -> Column:
 
 def truncated(ids: Column, most: int) -> Column:
     return F.slice(ids, 1, most)
+
+
+def first_batches(batched: DataFrame, most: int | None) -> DataFrame:
+    """The first ``most`` batches of an epoch, all of them with None."""
+    return batched if most is None else batched.where(F.col("batch_id") < most)
+
+
+def split_ragged(flat: DataFrame, lengths: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """``(<key>, <value>)``: rows laid end to end in the order of ``order`` (from 0), split again into lists of the ``length`` of each key, in the order of the keys.
+
+    The inverse of laying ragged lists end to end for one call of a model. A
+    length of 0 or null gives an empty list; rows beyond the lengths are left out.
+    """
+    members = prefix_offsets(lengths.select(key, F.col("length").alias("_n")), "_n", key)
+    ranges = members.select(F.col("start").alias("member_no"), F.col(key).cast("string").alias("member"), F.col("_n").alias("size"))
+    found = locate(flat.select(F.col(order).alias("idx")), ranges)
+    rows = flat.join(found.where("member is not null"), flat[order] == found["idx"]).groupBy("member").agg(F.transform(F.array_sort(F.collect_list(F.struct("local_idx", F.col(value).alias("v")))), lambda x: x["v"]).alias(value))
+    kind = flat.schema[value].dataType.simpleString()
+    return lengths.select(key).join(rows, F.col(key).cast("string") == F.col("member"), "left").select(key, F.coalesce(value, F.array().cast(f"array<{kind}>")).alias(value))

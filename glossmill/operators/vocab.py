@@ -82,3 +82,34 @@ def lexicon_tags(df: DataFrame, key: str, words: str, lexicon: DataFrame) -> Dat
     known = each.join(lexicon, "word", "left")
     token = F.struct("i", F.col("word").alias("text"), F.coalesce("lemma", "word").alias("lemma"), F.coalesce("pos", F.lit("X")).alias("pos"))
     return known.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(token)), lambda t: F.struct(t["text"].alias("text"), t["lemma"].alias("lemma"), t["pos"].alias("pos"))).alias("tokens"))
+
+
+def decoded(df: DataFrame, key: str, ids: str, pieces: DataFrame, special: Sequence[int] = (), between: str = "") -> DataFrame:
+    """``(<key>, text)``: the pieces of each row's ids in order, joined by ``between``; ``special`` ids and ids without a piece are left out.
+
+    ``pieces (id, piece)`` is a vocabulary. Null lists give a null text, lists with
+    nothing to show an empty one. Keys must be unique.
+    """
+    each = df.select(key, F.posexplode(ids).alias("i", "id"))
+    if special:
+        each = each.where(~F.col("id").isin(*special))
+    found = each.join(pieces.select("id", "piece"), "id").groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "piece"))), lambda x: x["piece"]), between).alias("text"))
+    return df.select(key, F.col(ids).isNull().alias("_null")).join(found, key, "left").select(key, F.when(~F.col("_null"), F.coalesce("text", F.lit(""))).alias("text"))
+
+
+def pseudo_glosses(df: DataFrame, sentence: str, tokens: Column, path: str | None = None, below: float = COMMON_RATIO, field: str = "lemma", pos: Sequence[str] = CONTENT_POS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(sentence, lemmas)``, ``(lemma, n)`` and ``(lemma, id)`` of tagged sentences in one call, written below ``path`` if it is given.
+
+    ``tokens`` are a tagger's, ``array<struct<text, lemma, pos>>``; words of other parts of
+    speech are left out. Counts are those of all rows, ids those of the lemmas
+    whose ratio stays below ``below``.
+    """
+    lists = df.select(F.col(sentence).alias("sentence"), content_words(tokens, pos, field).alias("lemmas"))
+    counts = occurrences(lists, "lemmas")
+    n = max(1, lists.select("sentence").distinct().count())
+    out = keep_last(lists, "sentence", F.array_join("lemmas", "|")), counts, dense_ids(frequency_ratio(counts, n, below), "lemma")
+    if path is None:
+        return out
+    for part, name in zip(out, ("dict_sentence", "dict_lem_counter", "dict_lem_to_id")):
+        part.write.parquet(f"{path}/{name}")
+    return tuple(df.sparkSession.read.schema(part.schema).parquet(f"{path}/{name}") for part, name in zip(out, ("dict_sentence", "dict_lem_counter", "dict_lem_to_id")))

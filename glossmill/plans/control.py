@@ -37,7 +37,7 @@ def lr_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(0, 2000).select(
         it.alias("it"),
         F.round(control.warmup_cosine_lr(it, 3e-4, 20, 100, 5, 0.01, 2, 0.7, 0.7) * 1e6, 5).alias("warm"),
-        F.round(control.cosine_lr(it, 1e-3, 1e-5, 2000) * 1e6, 5).alias("cosine"),
+        F.round(control.learning_rate("cosine", it, start=1e-3, end=1e-5, cycle=2000) * 1e6, 5).alias("cosine"),
         F.round(control.multistep_lr(F.floor(it / 20), 1e-3, [30, 60, 90]) * 1e6, 5).alias("steps"),
     )
 
@@ -63,7 +63,13 @@ def signature_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select(text.signature({"tok": "13a", "smooth": "exp", "case": "mixed", "numrefs": "1"}).alias("signature"), control.score_line("rows", F.col("n").cast("double")).alias("line"), math.floored_log(F.lit(0.0)).alias("log0"))
 
 
-QUERIES = {f.__name__: f for f in (best_checkpoint, latest_checkpoint, epoch_checkpoint, lr_schedule, plateau_schedule, metric_flatten, mean_of_max, signature_line)}
+def epoch_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of two named losses over the iterations of each epoch; events stand in for iterations and days for epochs."""
+    e = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("epoch"), F.col("value").alias("loss"), F.when(F.col("event_type") != "error", F.col("value") / 2).alias("loss_ce"))
+    return control.epoch_means(e, "epoch", ["loss", "loss_ce"]).withColumn("mean", F.round("mean", 6))
+
+
+QUERIES = {f.__name__: f for f in (best_checkpoint, latest_checkpoint, epoch_checkpoint, lr_schedule, plateau_schedule, metric_flatten, mean_of_max, epoch_means, signature_line)}
 
 _VALUES = ", ".join(f"('{p}')" for p in PATHS)
 _COS = "{a} + ({b} - {a}) / 2 * (1 - cos({t} * pi()))"
@@ -85,6 +91,8 @@ ORACLES = {
             CASE WHEN r.v >= best * 0.9999::DOUBLE AND bad >= 1 THEN lr * 0.5 ELSE lr END FROM s JOIN r ON r.i = s.i + 1)
         SELECT m, v, lr FROM s""",
     "metric_flatten": "SELECT * FROM (VALUES (1, 'loss', 2.5::DOUBLE), (1, 'bleu_bleu1', 10.0), (1, 'bleu_bleu4', 1.5), (2, 'loss', 2.0), (2, 'bleu_bleu1', 12.0), (2, 'bleu_bleu4', 2.5)) t(epoch, metric, value)",
+    "epoch_means": """SELECT epoch, name, round(avg(v), 6) AS mean, count(*) AS n FROM (SELECT strftime(ts, '%Y-%m-%d') AS epoch, unnest(['avg_loss', 'avg_loss_ce']) AS name, unnest([value, CASE WHEN event_type <> 'error' THEN value / 2 END]) AS v FROM events)
+        WHERE v IS NOT NULL GROUP BY ALL""",
     "mean_of_max": "SELECT round(avg(m), 6) AS mean_of_max FROM (SELECT max(value) AS m FROM events GROUP BY user_id)",
     "signature_line": "SELECT 'case.mixed+numrefs.1+smooth.exp+tok.13a' AS signature, 'rows = ' || count(*) || '.00' AS line, -9999999999.0::DOUBLE AS log0 FROM corpus_b",
 }

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from glossmill.functions import text
 from glossmill.operators import relations, vocab
 from glossmill.operators.packed import values_column
 from glossmill.plans.packed import items_sql
-from glossmill.session import shared_dir, spread, table
+from glossmill.session import scratch, spread, table
 from glossmill.sources import delimited, frames
 
 #: Tags of content words in label_postag.
@@ -44,16 +42,8 @@ def split_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Samples of the test split as JSON records, the glosses with them; those of all rows in ``sample_projection_all``."""
-    return _samples(table(spark, sf_dir, "corpus_b").where("split = 'test'"))
-
-
-def sample_projection_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples of all splits, and of none, as JSON records, the glosses with them."""
-    return _samples(table(spark, sf_dir, "corpus_b"))
-
-
-def _samples(b: DataFrame) -> DataFrame:
+    b = table(spark, sf_dir, "corpus_b")
     return b.select("rec_id", F.to_json(F.struct("rec_id", F.col("translation").alias("sentence"), F.col("name").alias("file_name"))).alias("sample"), F.size(text.split_blanks(F.col("orth"))).alias("n_glosses"))
 
 
@@ -135,7 +125,7 @@ def frame_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = table(spark, sf_dir, "frame_meta").where("num_frames > 0").groupBy("video_id").agg(F.max("num_frames").alias("n"))
     stand_in = f.select("video_id", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("frame_no"))
     stand_in = stand_in.withColumn("jpeg", F.to_binary(F.concat_ws("#", "video_id", F.col("frame_no").cast("string")), F.lit("utf-8")))
-    at = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
+    at = scratch(spark, "store")
     frames.write_store(stand_in, at)
     wanted = f.select("video_id", F.sequence(F.lit(0), F.col("n") + 3, F.lit(7)).alias("ordinals"))
     got = frames.select_frames(spark.read.parquet(f"{at}/frames"), wanted)
@@ -144,17 +134,17 @@ def frame_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def delimited_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """corpus_b written as pipe-separated files and read back."""
-    at = f"{shared_dir(spark)}/delimited-{uuid.uuid4().hex}"
+    at = scratch(spark, "delimited")
     delimited.write_delimited(table(spark, sf_dir, "corpus_b").select("name", "translation", "orth"), at, "|")
     back = delimited.read_delimited(spark, at, delimited.CORPUS_B, "|")
     return back.groupBy("name").agg(F.count("*").alias("n"), F.max("translation").alias("translation"), F.max("orth").alias("orth"))
 
 
 def dictionary_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """dict_lem_to_id written as one JSON map and read back."""
-    at = f"{shared_dir(spark)}/dictionary-{uuid.uuid4().hex}"
+    """dict_lem_to_id written as JSON maps, one for about 100,000 entries, and read back."""
+    at = scratch(spark, "dictionary")
     d = table(spark, sf_dir, "dict_lem_to_id").where("lemma is not null")
-    d.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("lemma", "id")))).alias("value")).coalesce(1).write.text(at)
+    delimited.write_dictionary(d, "lemma", "id", at)
     return delimited.read_dictionary(spark, at, "gloss", "gloss_id")
 
 
@@ -173,13 +163,6 @@ def segment_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def separated_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fields of the first line of each text; those of every line in ``separated_fields_lines``."""
-    d = table(spark, sf_dir, "documents")
-    first = F.substring_index("text", "\n", 1)
-    return d.select("doc_id", text.separated_field(first, 0).alias("f0"), text.separated_field(first, 1).alias("f1"))
-
-
-def separated_fields_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fields of every line of each text, numbered from 0; a last line break starts no line, and null and empty texts have none."""
     d = spread(table(spark, sf_dir, "documents").where("text <> ''").select("doc_id", "text"))
     lines = F.split(F.regexp_replace("text", r"\n\z", ""), "\n", -1)
@@ -187,11 +170,57 @@ def separated_fields_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return each.select("doc_id", "line_no", text.separated_field(F.col("line"), 0).alias("f0"), text.separated_field(F.col("line"), 1).alias("f1"))
 
 
+def tab_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """corpus_a written as one folder of tab-separated files per split and read back from all of them at once."""
+    a = table(spark, sf_dir, "corpus_a").select("name", "split", "label_gloss", "label_char", "label_word", "label_postag")
+    at = scratch(spark, "tab")
+    parts = {"train": F.col("split") == "train", "held": F.col("split").isin("dev", "test"), "none": F.coalesce(~F.col("split").isin("train", "dev", "test"), F.lit(True))}
+    for name, of in parts.items():
+        delimited.write_delimited(a.where(of), f"{at}/{name}", "\t")
+    back = delimited.read_delimited(spark, [f"{at}/{name}" for name in parts], delimited.CORPUS_A, "\t")
+    return back.groupBy("name", "split").agg(F.count("*").alias("n"), *[F.max(c).alias(c) for c in a.columns[2:]])
+
+
+def gloss_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of each record's glosses by a lookup that must not miss."""
+    b = spread(table(spark, sf_dir, "corpus_b").where("orth is not null").select("rec_id", "orth")).select("rec_id", values_column(F.col("orth")).alias("glosses"))
+    each = b.select("rec_id", F.posexplode("glosses").alias("i", "gloss"))
+    ids = vocab.checked(each.join(vocab.dense_ids(each, "gloss"), "gloss", "left"), "id", "id of a gloss")
+    return ids.groupBy("rec_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "id"))), lambda x: x["id"]).cast("array<string>"), " ").alias("ids"))
+
+
+#: Ids of padding and of the end of a sentence in the vocabulary of characters.
+SPECIAL = (1, 2)
+
+
+def decoded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences from the ids of their characters, as a model gives them: with an end mark and padding, which are left out."""
+    b = table(spark, sf_dir, "corpus_b").select("rec_id", "translation")
+    chars = b.select("rec_id", F.transform(text.characters(F.col("translation")), lambda c: F.ascii(c)).alias("ids"))
+    pieces = b.select(F.explode(text.characters(F.col("translation"))).alias("piece")).distinct().select(F.ascii("piece").alias("id"), "piece")
+    pieces = pieces.unionByName(spark.createDataFrame([(SPECIAL[0], "<pad>"), (SPECIAL[1], "</s>")], "id int, piece string"))
+    given = chars.withColumn("ids", F.concat("ids", F.array(F.lit(SPECIAL[1])), F.array_repeat(F.lit(SPECIAL[0]), (F.col("rec_id") % 4).cast("int"))))
+    return vocab.decoded(given, "rec_id", "ids", pieces, SPECIAL)
+
+
+def pseudo_gloss_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lemmas that a lexicon gives the words of each sentence, in lower case: their counts, and ids of those that are not too common.
+
+    The lexicon stands in for a tagger: the lemmas of dict_lem_to_id, every third of which is no content word.
+    """
+    d = table(spark, sf_dir, "dict_lem_to_id").where("lemma is not null").select(F.lower(F.trim("lemma")).alias("word"), "id")
+    lexicon = d.groupBy("word").agg(F.max("id").alias("id")).select("word", F.initcap("word").alias("lemma"), F.when(F.col("id") % 3 == 0, "ADP").otherwise("NOUN").alias("pos"))
+    b = table(spark, sf_dir, "corpus_b").where("translation is not null").select("rec_id", "translation", text.words(F.lower("translation")).alias("w"))
+    tagged = b.select("rec_id", "translation").join(vocab.lexicon_tags(b, "rec_id", "w", lexicon), "rec_id")
+    _, counts, ids = vocab.pseudo_glosses(tagged, "translation", F.col("tokens"), scratch(spark, "pseudo"))
+    return counts.join(ids, "lemma", "left")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        literal_join, split_filter, split_membership, split_join, split_union, sample_projection, sample_projection_all, last_delivery, vocab_counts, vocab_ids, freq_filter, sentence_ids, lookup_misses, pos_filter,
-        decoded_replacements, inverted_map, to_extract, frame_details, frame_select, delimited_round_trip, dictionary_file, origin_subset, segment_markup, separated_fields, separated_fields_lines,
+        literal_join, split_filter, split_membership, split_join, split_union, sample_projection, last_delivery, vocab_counts, vocab_ids, freq_filter, sentence_ids, lookup_misses, pos_filter,
+        decoded_replacements, inverted_map, to_extract, frame_details, frame_select, delimited_round_trip, dictionary_file, origin_subset, segment_markup, separated_fields, tab_files, gloss_ids, decoded_ids, pseudo_gloss_tables,
     )
 }
 
@@ -204,8 +233,6 @@ _TAGS = ", ".join(f"'{t}'" for t in CONTENT_TAGS)
 
 ORACLES = {
     "sample_projection": """SELECT rec_id, CASE WHEN translation IS NULL THEN to_json({'rec_id': rec_id, 'file_name': name}) ELSE to_json({'rec_id': rec_id, 'sentence': translation, 'file_name': name}) END::VARCHAR AS sample,
-        len(string_split(orth, ' '))::INT AS n_glosses FROM corpus_b WHERE split = 'test'""",
-    "sample_projection_all": """SELECT rec_id, CASE WHEN translation IS NULL THEN to_json({'rec_id': rec_id, 'file_name': name}) ELSE to_json({'rec_id': rec_id, 'sentence': translation, 'file_name': name}) END::VARCHAR AS sample,
         len(string_split(orth, ' '))::INT AS n_glosses FROM corpus_b""",
     "literal_join": f"SELECT rec_id, CASE WHEN {_IS_LIST} THEN array_to_string({_LITERAL}, '') END AS sentence, CASE WHEN {_IS_LIST} THEN len({_LITERAL})::INT END AS n_signs FROM corpus_a",
     "split_filter": "SELECT rec_id, name, split FROM corpus_b WHERE split = 'dev'",
@@ -241,8 +268,17 @@ SELECT words.rec_id, coalesce(picked.words, '') AS words FROM words JOIN tags US
     "origin_subset": """WITH c AS (SELECT doc_id, source, last_value(CASE WHEN lang IS NOT NULL THEN {'origin': lang, 'tag': kind} END IGNORE NULLS) OVER (PARTITION BY source ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS m FROM documents WHERE source IS NOT NULL)
         SELECT doc_id, source FROM c WHERE m IS NOT NULL AND m.origin <> 'de' AND regexp_matches(coalesce(m.tag, ''), '^(note|run|annotation|dialogue)')""",
     "segment_markup": "SELECT rec_id, trim(regexp_replace(translation, '[\\s\\p{Z}]+', ' ', 'g')) AS plain, rec_id::VARCHAR AS seg FROM corpus_b WHERE translation IS NOT NULL",
-    "separated_fields": "SELECT doc_id, string_split(string_split(text, chr(10))[1], chr(9))[1] AS f0, string_split(string_split(text, chr(10))[1], chr(9))[2] AS f1 FROM documents",
-    "separated_fields_lines": """WITH l AS (SELECT doc_id, string_split(CASE WHEN text LIKE '%' || chr(10) THEN left(text, length(text) - 1) ELSE text END, chr(10)) AS a FROM documents WHERE text <> ''),
+    "separated_fields": """WITH l AS (SELECT doc_id, string_split(CASE WHEN text LIKE '%' || chr(10) THEN left(text, length(text) - 1) ELSE text END, chr(10)) AS a FROM documents WHERE text <> ''),
         n AS (SELECT doc_id, unnest(range(len(a)))::INT AS line_no, unnest(a) AS line FROM l)
         SELECT doc_id, line_no, string_split(line, chr(9))[1] AS f0, string_split(line, chr(9))[2] AS f1 FROM n""",
+    "tab_files": "SELECT name, split, count(*) AS n, max(label_gloss) AS label_gloss, max(label_char) AS label_char, max(label_word) AS label_word, max(label_postag) AS label_postag FROM corpus_a GROUP BY name, split",
+    "gloss_ids": f"""{items_sql([("corpus_b", "orth")])}, each AS (SELECT rec_id, unnest(range(len(items))) AS i, unnest(items) AS gloss FROM kept),
+        ids AS (SELECT gloss, row_number() OVER (ORDER BY gloss) - 1 AS id FROM (SELECT DISTINCT gloss FROM each))
+        SELECT rec_id, string_agg(id::VARCHAR, ' ' ORDER BY i) AS ids FROM each JOIN ids USING (gloss) GROUP BY rec_id""",
+    "decoded_ids": "SELECT rec_id, translation AS text FROM corpus_b",
+    "pseudo_gloss_tables": """WITH lex AS (SELECT lower(trim(lemma)) AS word, max(id) AS id FROM dict_lem_to_id WHERE lemma IS NOT NULL GROUP BY 1),
+        w AS (SELECT translation AS s, unnest(list_filter(regexp_split_to_array(lower(translation), '[\\s\\p{Z}]+'), lambda x: x <> '')) AS word FROM corpus_b WHERE translation IS NOT NULL),
+        c AS (SELECT w.word AS lemma, count(*) AS n FROM w JOIN lex USING (word) WHERE lex.id % 3 <> 0 GROUP BY 1),
+        sentences AS (SELECT count(DISTINCT translation) AS n FROM corpus_b WHERE regexp_matches(translation, '[^\\s\\p{Z}]'))
+        SELECT c.lemma, c.n, i.id FROM c LEFT JOIN (SELECT lemma, (row_number() OVER (ORDER BY lemma) - 1)::INT AS id FROM c WHERE n::DOUBLE / (SELECT n FROM sentences) < 0.4::DOUBLE) i USING (lemma)""",
 }

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.functions import text
-from glossmill.operators import bleu, chrf, relations, rouge
+from glossmill.operators import bleu, chrf, control, relations, rouge
 from glossmill.operators.packed import values_column
 from glossmill.plans.packed import items_sql
 from glossmill.session import spread, table
@@ -119,7 +119,7 @@ def chrf_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chrf_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _corpus_b(spark, sf_dir).withColumn("hyp", _glosses(F.col("orth")))
-    return chrf.chrf(df, "hyp", "translation", ["rec_id"])
+    return chrf.with_statistics(df.select("rec_id", "hyp", "translation"), "hyp", "translation").select("rec_id", F.round(chrf.score(), 6).alias("chrf"))
 
 
 def _rouge_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,6 +131,45 @@ def rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rouge_pairs(spark, sf_dir).select("rec_id", F.round(rouge.rouge_l(F.col("hyp"), F.col("refs")), 6).alias("rouge"))
 
 
+def rouge_multiref(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Against the translation and against it without punctuation: the greatest precision and the greatest recall may come from different ones."""
+    df = _both(_corpus_b(spark, sf_dir)).select("rec_id", _glosses(F.col("orth")).alias("hyp"), F.array("translation", F.regexp_replace("translation", "[,.!]", "")).alias("refs"))
+    return df.select("rec_id", F.round(rouge.rouge_l(F.col("hyp"), F.col("refs")), 6).alias("rouge"))
+
+
+def _predictions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Hypotheses and references as two tables of the same order."""
+    df = _both(_corpus_b(spark, sf_dir))
+    return df.select("rec_id", text.words(_glosses(F.col("orth"))).alias("words")), df.select("rec_id", text.words(F.col("translation")).alias("words"))
+
+
+def paired_bleu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BLEU of a table of hypotheses against one of references, paired by their places; tables of different length are an error."""
+    hyp, ref = _predictions(spark, sf_dir)
+    return bleu.bleu(relations.paired(hyp, ref, ["rec_id"]).select(F.col("hyp_words").alias("hyp"), F.array("ref_words").alias("refs")))
+
+
+def paired_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the two corpora paired by their places, as far as the shorter one goes."""
+    a, b = table(spark, sf_dir, "corpus_a").select("rec_id"), table(spark, sf_dir, "corpus_b").select("rec_id")
+    return relations.paired(a, b, ["rec_id"], strict=False)
+
+
+def bleu_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score line of corpus BLEU."""
+    sums = bleu.with_statistics(_pairs(spark, sf_dir)).agg(*[F.sum(c).alias(c) for c in bleu.COUNTS])
+    s = bleu.scores()
+    precisions = [100 * F.col(f"correct{n}") / F.col(f"total{n}") for n in range(1, bleu.ORDER + 1)]
+    return sums.select(control.bleu_line([s[f"bleu{n}"] for n in range(1, bleu.ORDER + 1)], precisions, s["bp"], F.col("sys_len"), F.col("ref_len")).alias("line"))
+
+
+def windowed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and sums of the events of each kind per hour, as a stream with a watermark."""
+    stream = metrics.read_table_stream(spark, f"{sf_dir}/events.parquet")
+    counts = metrics.windowed_counts(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"])
+    return metrics.run_to_end(counts.select(F.date_format("window.start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n", F.round("total", 2).alias("total")), "windows")
+
+
 def rouge_l_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rouge.mean_rouge_l(_rouge_pairs(spark, sf_dir), "hyp", "refs", ["split"])
 
@@ -156,11 +195,6 @@ def tokenize_intl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenize_zh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents labelled zh; all of them in ``tokenize_zh_all``."""
-    return spread(table(spark, sf_dir, "documents").where("lang = 'zh'").select("doc_id", "text")).select("doc_id", text.tokenize_zh(F.col("text")).alias("tokens"))
-
-
-def tokenize_zh_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", text.tokenize_zh(F.col("text")).alias("tokens"))
 
 
@@ -173,7 +207,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         bleu_corpus, bleu_corpus_swapped, bleu_by_split, bleu_sentence, bleu_multiref, bleu_smooth_exp, bleu_smooth_addk, bleu_smooth_floor, bleu_tokenized, bleu_chars,
-        bleu_stream, events_stream, ngram_counts, chrf_corpus, chrf_sentence, rouge_l, rouge_l_mean, bag_overlap, bag_intersection, tokenize_13a, tokenize_intl, tokenize_zh, tokenize_zh_all, split_characters,
+        bleu_stream, events_stream, ngram_counts, chrf_corpus, chrf_sentence, rouge_l, rouge_multiref, rouge_l_mean, paired_bleu, paired_places, bleu_line, windowed_stream, bag_overlap, bag_intersection, tokenize_13a, tokenize_intl, tokenize_zh, split_characters,
     )
 }
 
@@ -184,9 +218,9 @@ _WHERE = "FROM corpus_b WHERE orth IS NOT NULL AND translation IS NOT NULL"
 _CHARS = "string_split(regexp_replace({}, '[\\s\\p{{Z}}]+', '', 'g'), '')"
 
 
-def _rules(c: str, rules: list[tuple[str, str]]) -> str:
+def _each(c: str, *rules: tuple[str, str]) -> str:
     for pattern, to in rules:
-        c = f"regexp_replace({c}, '{pattern}', '{to.replace('$', chr(92))}', 'g')"
+        c = f"regexp_replace({c}, '{pattern}', '{to}', 'g')"
     return c
 
 
@@ -194,10 +228,25 @@ def _squeeze(c: str) -> str:
     return f"trim(regexp_replace({c}, '[\\s\\p{{Z}}]+', ' ', 'g'))"
 
 
+def _apart(c: str) -> str:
+    """ASCII marks apart but for , - . and ', a period or comma apart unless between digits, a dash apart behind a digit."""
+    return _each(c, (r"([!-&(-+:-@/\[-`{-~ ])", r" \1 "), (r"(\D)([.,])", r"\1 \2 "), (r"([.,])(\D)", r" \1 \2"), (r"(\d)-", r"\1 - "))
+
+
 def _13a(c: str) -> str:
-    for old, new in text.ENTITIES:
-        c = f"replace({c}, '{old}', '{new}')" if "\n" not in old else f"replace({c}, '{old[:-1]}' || chr(10), '{new}')"
-    return _squeeze(_rules(f"(' ' || {c} || ' ')", text.WESTERN))
+    c = f"replace(replace(replace({c}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' ')"
+    c = f"replace(replace(replace(replace({c}, '&quot;', '\"'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>')"
+    return _squeeze(_apart(f"(' ' || {c} || ' ')"))
+
+
+def _intl(c: str) -> str:
+    return f"trim({_each(c, (r'(\P{Nd})(\p{P})', r'\1 \2 '), (r'(\p{P})(\P{Nd})', r' \1 \2'), (r'(\p{S})', r' \1 '))})"
+
+
+def _zh(c: str) -> str:
+    blocks = "⺀-⿟⿰-⿿\u3000-〿\u3100-ㄯㆠ-ㆿ㇀-\u31ef㈀-㏿㐀-䶵一-龻豈-鶴侮-頻並-龎\ufe10-\ufe1f︰-﹏\uff00-\uffef"
+    odd = "\u2001-\u2a6d\u2f81-\u2fa1"  # also holds the signs of 2600-27BF
+    return _squeeze(_apart(f"regexp_replace(trim({c}), '([{blocks}{odd}])', ' \\1 ', 'g')"))
 
 
 def bleu_sql(pairs: str, by: str = "", smooth: str = "floor", value: float = 0.0, lengths: bool = True) -> str:
@@ -250,15 +299,20 @@ every AS (SELECT DISTINCT {key} AS g FROM pairs)
 SELECT {f"g AS {by}, " if by else ""}round(CASE WHEN coalesce(p + q, 0) = 0 THEN 0.0::DOUBLE ELSE 5 * p * q / (4 * p + q) END, 6) AS chrf FROM every LEFT JOIN pr USING (g)"""
 
 
-_ROUGE = f"""
-WITH RECURSIVE pairs AS (SELECT rec_id, split, string_split({GLOSSES}, ' ') AS h, string_split(translation, ' ') AS r {_WHERE}),
-steps AS (
-  SELECT rec_id, split, h, r, 1 AS i, (1::HUGEINT << len(r)) - 1 AS v FROM pairs
+def _lcs(name: str, ref: str) -> str:
+    """CTEs up to ``lcs_<name> (rec_id, split, nh, nr, l)``: lengths and longest common subsequence of the glosses and ``ref``."""
+    return f"""RECURSIVE pairs_{name} AS (SELECT rec_id, split, string_split({GLOSSES}, ' ') AS h, {ref} AS r {_WHERE}),
+steps_{name} AS (
+  SELECT rec_id, split, h, r, 1 AS i, (1::HUGEINT << len(r)) - 1 AS v FROM pairs_{name}
   UNION ALL
   SELECT rec_id, split, h, r, i + 1, (((v + (v & m)) | (v - (v & m))) & ((1::HUGEINT << len(r)) - 1)) FROM (
-    SELECT *, list_sum(list_transform(range(len(r)), lambda j: CASE WHEN r[j + 1] = h[i] THEN 1::HUGEINT << j::INT ELSE 0::HUGEINT END))::HUGEINT AS m FROM steps WHERE i <= len(h))
-), lcs AS (SELECT rec_id, split, len(h) AS nh, len(r) AS nr, len(r) - bit_count(v) AS l FROM steps WHERE i = len(h) + 1),
-scored AS (SELECT rec_id, split, CASE WHEN l = 0 THEN 0.0::DOUBLE ELSE (1 + 1.44::DOUBLE) * (l::DOUBLE / nh) * (l::DOUBLE / nr) / (l::DOUBLE / nr + 1.44::DOUBLE * (l::DOUBLE / nh)) END AS rouge FROM lcs)"""
+    SELECT *, list_sum(list_transform(range(len(r)), lambda j: CASE WHEN r[j + 1] = h[i] THEN 1::HUGEINT << j::INT ELSE 0::HUGEINT END))::HUGEINT AS m FROM steps_{name} WHERE i <= len(h))
+), lcs_{name} AS (SELECT rec_id, split, len(h) AS nh, len(r) AS nr, len(r) - bit_count(v) AS l FROM steps_{name} WHERE i = len(h) + 1)"""
+
+
+_ROUGE = f"""
+WITH {_lcs("one", "string_split(translation, ' ')")},
+scored AS (SELECT rec_id, split, CASE WHEN l = 0 THEN 0.0::DOUBLE ELSE (1 + 1.44::DOUBLE) * (l::DOUBLE / nh) * (l::DOUBLE / nr) / (l::DOUBLE / nr + 1.44::DOUBLE * (l::DOUBLE / nh)) END AS rouge FROM lcs_one)"""
 
 _LITERAL = r"regexp_extract_all(label_char, '''((?:[^''\\]|\\.)*)''', 1)"
 
@@ -290,8 +344,18 @@ ORACLES = {
         SELECT p.rec_id, coalesce(sum(least(hw.c, rw.c)), 0)::INT AS common FROM p LEFT JOIN (hw JOIN rw USING (rec_id, w)) ON p.rec_id = hw.rec_id GROUP BY p.rec_id""",
     "bag_intersection": f"""SELECT word, count(*) AS n FROM (SELECT unnest({_R}) AS word FROM corpus_b WHERE split = 'dev' INTERSECT ALL SELECT unnest({_R}) FROM corpus_b WHERE split = 'train') GROUP BY word""",
     "tokenize_13a": f"SELECT doc_id, {_13a('text')} AS tokens FROM documents",
-    "tokenize_intl": f"SELECT rec_id, trim({_rules('translation', text.INTERNATIONAL)}) AS tokens FROM corpus_b",
-    "tokenize_zh": f"SELECT doc_id, {_squeeze(_rules(_rules('trim(text)', [(f'({text.isolated_class()})', ' $1 ')]), text.WESTERN))} AS tokens FROM documents WHERE lang = 'zh'",
-    "tokenize_zh_all": f"SELECT doc_id, {_squeeze(_rules(_rules('trim(text)', [(f'({text.isolated_class()})', ' $1 ')]), text.WESTERN))} AS tokens FROM documents",
+    "tokenize_intl": f"SELECT rec_id, {_intl('translation')} AS tokens FROM corpus_b",
+    "tokenize_zh": f"SELECT doc_id, {_zh('text')} AS tokens FROM documents",
+    "rouge_multiref": f"""WITH {_lcs("one", "string_split(translation, ' ')")}, {_lcs("two", "string_split(regexp_replace(translation, '[,.!]', '', 'g'), ' ')").removeprefix("RECURSIVE ")},
+        best AS (SELECT rec_id, greatest(x.l::DOUBLE / x.nh, y.l::DOUBLE / y.nh) AS p, greatest(x.l::DOUBLE / x.nr, y.l::DOUBLE / y.nr) AS r FROM lcs_one x JOIN lcs_two y USING (rec_id))
+        SELECT rec_id, round(CASE WHEN p = 0 OR r = 0 THEN 0.0::DOUBLE ELSE 2.44::DOUBLE * p * r / (r + 1.44::DOUBLE * p) END, 6) AS rouge FROM best""",
+    "paired_bleu": bleu_sql(_pairs_sql()),
+    "paired_places": """SELECT idx, a.rec_id AS hyp_rec_id, b.rec_id AS ref_rec_id FROM (SELECT rec_id, row_number() OVER (ORDER BY rec_id) - 1 AS idx FROM corpus_a) a
+        JOIN (SELECT rec_id, row_number() OVER (ORDER BY rec_id) - 1 AS idx FROM corpus_b) b USING (idx)""",
+    "bleu_line": f"""WITH s AS ({bleu_sql(_pairs_sql())}), p AS (SELECT exp(ln(bleu1 / bp)) AS p1, * FROM s)
+        SELECT format('BLEU = {{:.2f}}/{{:.2f}}/{{:.2f}}/{{:.2f}} {{:.1f}}/{{:.1f}}/{{:.1f}}/{{:.1f}} (BP = {{:.3f}} ratio = {{:.3f}} hyp_len = {{}} ref_len = {{}})', bleu1, bleu2, bleu3, bleu4,
+          bleu1 / bp, CASE WHEN bleu1 > 0 THEN pow(bleu2 / bp, 2) / (bleu1 / bp) ELSE 0 END, CASE WHEN bleu2 > 0 THEN pow(bleu3 / bp, 3) / pow(bleu2 / bp, 2) ELSE 0 END, CASE WHEN bleu3 > 0 THEN pow(bleu4 / bp, 4) / pow(bleu3 / bp, 3) ELSE 0 END,
+          bp, sys_len::DOUBLE / ref_len, sys_len, ref_len) AS line FROM p""",
+    "windowed_stream": "SELECT strftime(ts, '%Y-%m-%d %H') AS hour, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL",
     "split_characters": f"SELECT rec_id, CASE WHEN label_char IS NOT NULL AND trim(label_char) <> '' THEN array_to_string(list_filter(string_split(array_to_string({_LITERAL}, ''), ''), lambda x: x <> ''), ' ') || ' .' END AS spaced FROM corpus_a",
 }

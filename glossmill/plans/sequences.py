@@ -80,11 +80,6 @@ def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def locate_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten fixed ordinals; every position in ``locate_positions``."""
-    return sequence.locate(spark.createDataFrame([(x,) for x in (0, 1, 149, 1499, 1500, 4000, -1, -1000, -10**9, 10**9)], "idx bigint"), _sizes(spark, sf_dir))
-
-
-def locate_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every position of the members laid end to end, counted from the start and from the end, and the first one beyond either."""
     sizes = _sizes(spark, sf_dir)
     total = sizes.agg(F.sum("size")).first()[0]
@@ -97,35 +92,36 @@ def full_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pad_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Strided ordinals in batches padded to 200 at most; whole in ``pad_mask_whole``."""
-    return _padded_batches(spark, sf_dir, 200)
-
-
-def pad_mask_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strided ordinals in batches padded to the longest of each."""
     return _padded_batches(spark, sf_dir, None)
 
 
+def epoch_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An epoch of at most 20 batches of 16 records."""
+    b = sequence.batches(table(spark, sf_dir, "corpus_a").select("rec_id"), 16, "rec_id", drop_last=False)
+    return sequence.first_batches(b, 20).select("batch_id", "slot", "rec_id")
+
+
+def ragged_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of all users laid end to end in the order of the users, and split again by their numbers."""
+    e = table(spark, sf_dir, "events").where("user_id is not null").select("user_id", "ts", "event_id")
+    flat = sequence.global_index(e, "user_id", "ts", "event_id")
+    lengths = e.groupBy("user_id").agg(F.count("*").alias("length"))
+    return sequence.split_ragged(flat, lengths, "user_id", "idx", "event_id").select("user_id", _joined(F.col("event_id")).alias("events"))
+
+
 def _padded_batches(spark: SparkSession, sf_dir: str, most: int | None) -> DataFrame:
     v = _videos(spark, sf_dir).withColumn("s", sequence.strided(F.coalesce("n", F.lit(0))))
     p = sequence.pad_batches(sequence.batches(v, 8, "video_id", drop_last=False), "s", most)
     return p.select("batch_id", "video_id", _joined(F.col("padded")).alias("padded"), F.size(F.filter("mask", lambda m: m)).alias("n_valid"))
 
 
-def teacher_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of the characters of each sentence, up to its first comma and 24 of them, as inputs and targets; whole in ``teacher_shift_whole``."""
-    ids = F.transform(F.filter(F.split("translation", ""), lambda c: c != ""), lambda c: F.ascii(c))
-    b = table(spark, sf_dir, "corpus_b").where("translation is not null").select("rec_id", sequence.truncated(sequence.until(ids, 44), 24).alias("ids"))
-    inputs, targets = sequence.shifted(F.col("ids"))
-    return b.select("rec_id", _joined(inputs).alias("inputs"), _joined(targets).alias("targets"))
-
-
 def _sentence_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = F.transform(F.filter(F.split("translation", ""), lambda c: c != ""), lambda c: F.ascii(c))
     return table(spark, sf_dir, "corpus_b").where("translation is not null").select("rec_id", ids.alias("ids"))
 
 
-def teacher_shift_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def teacher_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all characters of each sentence, as inputs and targets."""
     inputs, targets = sequence.shifted(F.col("ids"))
     return _sentence_ids(spark, sf_dir).select("rec_id", _joined(inputs).alias("inputs"), _joined(targets).alias("targets"))
@@ -184,24 +180,29 @@ def bce_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multilabel.bce_loss(_cells(spark, sf_dir))
 
 
-def _logits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = prototype.similarities(_frames(spark, sf_dir), _prototypes(spark, sf_dir)).where("class_id is not null")
-    target = _frames(spark, sf_dir).select("sample", "t", F.col("label").alias("target_id"))
-    return s.join(target, ["sample", "t"]).select("sample", "t", "class_id", (F.col("s") * 10).alias("logit"), "target_id", F.lit(True).alias("valid"))
+def _losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prototype.frame_losses(_frames(spark, sf_dir).withColumn("target_id", F.col("label")), _prototypes(spark, sf_dir))
 
 
 def ce_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return multilabel.ce_loss(_logits(spark, sf_dir), ["sample", "t"])
+    return multilabel.mean_ce(_losses(spark, sf_dir))
+
+
+def ce_loss_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same loss from logits in long form, over the positions that are not masked: every third one and those without vector are."""
+    s = prototype.similarities(_frames(spark, sf_dir), _prototypes(spark, sf_dir))
+    target = _frames(spark, sf_dir).select("sample", "t", F.col("label").alias("target_id"))
+    logits = s.join(target, ["sample", "t"]).select("sample", "t", "class_id", (F.col("s") * 10).alias("logit"), "target_id", (F.col("t") % 3 != 0).alias("valid"))
+    return multilabel.ce_loss(logits, ["sample", "t"])
 
 
 def weighted_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    losses = bce_loss(spark, sf_dir).withColumn("k", F.lit(0)).join(ce_loss(spark, sf_dir).withColumn("k", F.lit(0)), "k")
+    losses = bce_loss(spark, sf_dir).unionByName(ce_loss(spark, sf_dir), allowMissingColumns=True).agg(F.max("bce").alias("bce"), F.max("ce").alias("ce"))
     return losses.select(F.round(multilabel.weighted_loss({"bce": F.col("bce"), "ce": F.col("ce")}, {"bce": 2.0}), 5).alias("loss"))
 
 
 def arg_max_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logits = _logits(spark, sf_dir).withColumn("logit", F.round("logit", 6))
-    return multilabel.arg_max(logits, ["sample", "t"], "class_id", "logit")
+    return _losses(spark, sf_dir).select("sample", "t", "class_id")
 
 
 def cosine_to_first(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,8 +249,8 @@ def shuffled_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        stride_sample, jitter_sample, cap_sample, event_positions, downsample_pool, local_window, local_attention, causal_sum, position_ids, prefix_offsets, concat_index, locate_ordinals, locate_positions, full_batches,
-        pad_mask, pad_mask_whole, teacher_shift, teacher_shift_whole, until_end, truncated_ids, prototype_scores, recall_f1_micro, recall_f1_macro, class_counts, bce_loss, ce_loss, weighted_loss, arg_max_class, cosine_to_first, normalized_channels, rescaled_points,
+        stride_sample, jitter_sample, cap_sample, event_positions, downsample_pool, local_window, local_attention, causal_sum, position_ids, prefix_offsets, concat_index, locate_ordinals, full_batches, epoch_cap, ragged_split,
+        pad_mask, teacher_shift, until_end, truncated_ids, prototype_scores, recall_f1_micro, recall_f1_macro, class_counts, bce_loss, ce_loss, ce_loss_masked, weighted_loss, arg_max_class, cosine_to_first, normalized_channels, rescaled_points,
         sinusoid_table, rotary, shuffled_order,
     )
 }
@@ -293,24 +294,16 @@ ORACLES = {
     "concat_index": """WITH u AS (SELECT 0 AS m, 'a' AS member, rec_id FROM corpus_a UNION ALL SELECT 1, 'b', rec_id FROM corpus_b)
         SELECT row_number() OVER (ORDER BY m, rec_id) - 1 AS idx, member, row_number() OVER (PARTITION BY m ORDER BY rec_id) - 1 AS local_idx, rec_id FROM u""",
     "locate_ordinals": """WITH s AS (SELECT 0 AS no, 'corpus_a' AS member, count(*) AS n FROM corpus_a UNION ALL SELECT 1, 'corpus_b', count(*) FROM corpus_b UNION ALL SELECT 2, 'documents', count(*) FROM documents),
-        r AS (SELECT member, sum(n) OVER (ORDER BY no) - n AS lo, sum(n) OVER (ORDER BY no) AS hi, sum(n) OVER () AS total FROM s),
-        q AS (SELECT unnest([0, 1, 149, 1499, 1500, 4000, -1, -1000, -1000000000, 1000000000])::BIGINT AS idx)
-        SELECT idx, member, (CASE WHEN idx < 0 THEN idx + total ELSE idx END - lo)::BIGINT AS local_idx FROM q LEFT JOIN r ON CASE WHEN idx < 0 THEN idx + total ELSE idx END >= lo AND CASE WHEN idx < 0 THEN idx + total ELSE idx END < hi""",
-    "locate_positions": """WITH s AS (SELECT 0 AS no, 'corpus_a' AS member, count(*) AS n FROM corpus_a UNION ALL SELECT 1, 'corpus_b', count(*) FROM corpus_b UNION ALL SELECT 2, 'documents', count(*) FROM documents),
         r AS (SELECT member, unnest(range(n)) AS local_idx, sum(n) OVER (ORDER BY no) - n AS lo, sum(n) OVER () AS total FROM s)
         SELECT (lo + local_idx)::BIGINT AS idx, member, local_idx FROM r UNION ALL SELECT (lo + local_idx - total)::BIGINT, member, local_idx FROM r
         UNION ALL SELECT unnest([sum(n), -sum(n) - 1])::BIGINT, NULL, NULL FROM s""",
     "full_batches": """WITH r AS (SELECT rec_id, row_number() OVER (ORDER BY rec_id) - 1 AS i FROM corpus_a) SELECT i // 16 AS batch_id, string_agg(rec_id::VARCHAR, ',' ORDER BY i) AS ids FROM r GROUP BY 1 HAVING count(*) = 16""",
     "pad_mask": f"""WITH {_V}, r AS (SELECT video_id, range(0, coalesce(n, 0), 2) AS s, (row_number() OVER (ORDER BY video_id) - 1) // 8 AS batch_id FROM v),
-        l AS (SELECT *, least(max(len(s)) OVER (PARTITION BY batch_id), 200) AS k FROM r)
-        SELECT batch_id, video_id, array_to_string(list_transform(range(1, k + 1), lambda i: coalesce(s[i], 0)), ',') AS padded, least(len(s), k)::INT AS n_valid FROM l""",
-    "pad_mask_whole": f"""WITH {_V}, r AS (SELECT video_id, range(0, coalesce(n, 0), 2) AS s, (row_number() OVER (ORDER BY video_id) - 1) // 8 AS batch_id FROM v),
         l AS (SELECT *, max(len(s)) OVER (PARTITION BY batch_id) AS k FROM r)
         SELECT batch_id, video_id, array_to_string(list_transform(range(1, k + 1), lambda i: coalesce(s[i], 0)), ',') AS padded, len(s)::INT AS n_valid FROM l""",
-    "teacher_shift": """WITH c AS (SELECT rec_id, list_transform(list_filter(string_split(translation, ''), lambda x: x <> ''), lambda x: ord(x)) AS a FROM corpus_b WHERE translation IS NOT NULL),
-        i AS (SELECT rec_id, (CASE WHEN list_position(a, 44) > 0 THEN a[:list_position(a, 44) - 1] ELSE a END)[:24] AS ids FROM c)
-        SELECT rec_id, coalesce(array_to_string(CASE WHEN len(ids) > 0 THEN ids[:len(ids) - 1] ELSE [] END, ','), '') AS inputs, coalesce(array_to_string(ids[2:], ','), '') AS targets FROM i""",
-    "teacher_shift_whole": f"WITH {_IDS} SELECT rec_id, array_to_string(ids[:greatest(len(ids) - 1, 0)], ',') AS inputs, array_to_string(ids[2:], ',') AS targets FROM c",
+    "teacher_shift": f"WITH {_IDS} SELECT rec_id, array_to_string(ids[:greatest(len(ids) - 1, 0)], ',') AS inputs, array_to_string(ids[2:], ',') AS targets FROM c",
+    "epoch_cap": "SELECT i // 16 AS batch_id, (i % 16)::INT AS slot, rec_id FROM (SELECT rec_id, row_number() OVER (ORDER BY rec_id) - 1 AS i FROM corpus_a) WHERE i < 320",
+    "ragged_split": "SELECT user_id, string_agg(event_id::VARCHAR, ',' ORDER BY ts, event_id) AS events FROM events WHERE user_id IS NOT NULL GROUP BY user_id",
     "until_end": f"WITH {_IDS} SELECT rec_id, array_to_string(ids, ',') AS ids FROM c",
     "truncated_ids": f"WITH {_IDS} SELECT rec_id, array_to_string(ids[:64], ',') AS ids FROM c",
     "prototype_scores": f"{_SCORES} SELECT sample, class_id, round(score, 6) AS score FROM sc",
@@ -319,6 +312,7 @@ ORACLES = {
     "class_counts": f"{_SCORES} SELECT class_id, tp, fp, fn, round(CASE WHEN tp + fp + fn > 0 THEN tp / (tp + 0.5::DOUBLE * (fp + fn)) END, 6) AS f1 FROM n",
     "bce_loss": f"{_SCORES} SELECT round({_BCE}, 6) AS bce FROM cells",
     "ce_loss": f"WITH {_SIM}, {_CE} SELECT round(ce, 6) AS ce FROM ce",
+    "ce_loss_masked": f"WITH {_SIM}, {_CE.replace('FROM s GROUP', 'FROM s WHERE t % 3 <> 0 GROUP')} SELECT round(ce, 6) AS ce FROM ce",
     "weighted_loss": f"{_SCORES}, {_CE} SELECT round(2 * round((SELECT {_BCE} FROM cells), 6) + round(ce, 6), 5) AS loss FROM ce",
     "arg_max_class": f"WITH {_SIM} SELECT sample, t, class_id FROM s QUALIFY row_number() OVER (PARTITION BY sample, t ORDER BY round(s * 10, 6) DESC, class_id) = 1",
     "cosine_to_first": f"WITH {_SIM} SELECT sample * 10 + t AS vec_id, round(least(greatest(s, 0.2::DOUBLE), 0.9::DOUBLE), 6) AS cosine FROM s WHERE class_id = label",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import os
 import pathlib
 import tempfile
 import uuid
@@ -69,11 +68,14 @@ _LOCAL: list[str] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset (single-machine tests) a folder of this machine is used.
+    Where it is unset a folder of this machine is used in local mode; on a cluster
+    that is an error, since its executors could not share one.
     """
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if at:
         return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _LOCAL:
         _LOCAL.append("file://" + tempfile.mkdtemp(prefix="glossmill-"))
     return _LOCAL[0]
@@ -87,6 +89,13 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed with all that is in it when the driver ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -94,11 +103,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def env_path(var: str, default: str) -> str:
-    return os.environ.get(var, default)

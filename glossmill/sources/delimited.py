@@ -27,11 +27,23 @@ def write_delimited(df: DataFrame, path: str, sep: str, mode: str = "error") ->
 
 
 def read_dictionary(spark: SparkSession, path: str, key: str, value: str, value_type: str = "int") -> DataFrame:
-    """``(<key>, <value>)`` of a JSON file that holds one map."""
-    text = spark.read.option("wholetext", True).text(path)
+    """``(<key>, <value>)`` of JSON files with a map each, over any number of lines, or with one map per line."""
+    text = spark.read.text(path, wholetext=True).select(F.explode(F.split(F.trim("value"), r"(?<=\})\s*\n\s*(?=\{)")).alias("value"))
     return text.select(F.explode(F.from_json("value", f"map<string,{value_type}>")).alias(key, value))
 
 
+#: Entries of one map, about.
+ENTRIES = 100_000
+
+
+def write_dictionary(df: DataFrame, key: str, value: str, path: str, entries: int = ENTRIES) -> None:
+    """Text files whose lines are JSON maps of about ``entries`` entries each; of a repeated key the greatest value counts, null keys are left out."""
+    one = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(value).alias(value))
+    maps = max(1, -(-one.count() // entries))
+    per = one.groupBy(F.pmod(F.xxhash64(key), F.lit(maps)).alias("_map")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(key, value)))).alias("value"))
+    per.select("value").write.text(path)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(value)``: the lines of plain or compressed text files."""
     return spark.read.text(path)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.operators import bleu
-from glossmill.session import shared_dir
+from glossmill.session import scratch
 
 
 def bleu_stream(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -22,9 +22,7 @@ def windowed_counts(events: DataFrame, time: str, keys: list[str], width: str =
 def run_to_end(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
     """Process all that the source holds now and return the result as a table; state is kept in the shared folder."""
     spark = stream.sparkSession
-    import uuid
-
-    at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    at = scratch(spark, name)
     out, schema = f"{at}/out", stream.schema
 
     def save(batch: DataFrame, number: int) -> None:

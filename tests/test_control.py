@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from glossmill.functions import text
-from glossmill.operators import control, images, models, relations
+from glossmill.operators import control, images, models, relations, vocab
 from glossmill.session import shared_dir
 from glossmill.sources import delimited, frames
 from glossmill.streaming import metrics
@@ -135,3 +135,44 @@ def test_stream_of_growing_files(spark, tmp_path):
     got = metrics.run_to_end(metrics.windowed_counts(s, "ts", ["key"]), "windows")
     assert sorted(r.n for r in got.collect()) == [1, 1, 1]
     assert shared_dir(spark)
+
+
+def test_epoch_means(spark):
+    df = spark.createDataFrame([(1, 2.0, None), (1, 4.0, 1.0), (2, None, 3.0), (2, None, None)], "epoch int, loss double, ce double")
+    got = {(r.epoch, r.name): (r["mean"], r.n) for r in control.epoch_means(df, "epoch", ["loss", "ce"]).collect()}
+    assert got == {(1, "avg_loss"): (3.0, 2), (1, "avg_ce"): (1.0, 1), (2, "avg_ce"): (3.0, 1)}
+    assert control.epoch_means(df.limit(0), "epoch", ["loss"]).count() == 0
+
+
+def test_schedules_by_name(spark):
+    assert control.learning_rate("none", F.lit(0)) is None
+    with pytest.raises(KeyError):
+        control.learning_rate("other", F.lit(0))
+    assert spark.range(1).select(control.learning_rate("step", F.lit(40), lr=1.0, milestones=[30, 60])).first()[0] == pytest.approx(0.1)
+
+
+def test_decoded_ids(spark):
+    pieces = spark.createDataFrame([(1, "<pad>"), (5, "wi"), (6, "nd"), (7, " ")], "id int, piece string")
+    df = spark.createDataFrame([(0, [5, 6, 7, 5, 1, 1]), (1, []), (2, None), (3, [1, 9]), (4, [6, None, 5])], "k int, ids array<int>")
+    assert {r.k: r.text for r in vocab.decoded(df, "k", "ids", pieces, [1]).collect()} == {0: "wind wi", 1: "", 2: None, 3: "", 4: "ndwi"}
+
+
+def test_dictionaries_of_several_maps_and_of_one_over_many_lines(spark, tmp_path):
+    df = spark.createDataFrame([(f"w{i}", i) for i in range(50)] + [("w7", 3), (None, 1)], "lemma string, id int")
+    delimited.write_dictionary(df, "lemma", "id", f"{tmp_path}/d", entries=9)
+    assert sorted(map(tuple, delimited.read_dictionary(spark, f"{tmp_path}/d", "k", "v").collect())) == sorted((f"w{i}", i) for i in range(50))
+    (tmp_path / "one.json").write_text('{\n "a": 1,\n "b": 2\n}\n')
+    assert sorted(map(tuple, delimited.read_dictionary(spark, f"{tmp_path}/one.json", "k", "v").collect())) == [("a", 1), ("b", 2)]
+
+
+def test_no_machine_local_folder_on_a_cluster(monkeypatch):
+    class Fake:
+        class conf:
+            get = staticmethod(lambda key, default=None: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getConf = staticmethod(lambda: {})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Fake())

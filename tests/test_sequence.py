@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,3 +171,65 @@ def test_vocabulary_rules(spark):
         vocab.checked(spark.createDataFrame([(None,)], "id int"), "id", "id").collect()
     last = vocab.keep_last(spark.createDataFrame([("a", 1, "x"), ("a", 2, None), (None, 1, "z")], "k string, o int, v string"), "k", F.col("o"))
     assert {tuple(r) for r in last.collect()} == {("a", 2, None), (None, 1, "z")}
+
+
+@pytest.mark.parametrize("most", [100, 1])
+def test_ordinals_are_found_with_and_without_sending_the_members(spark, most):
+    sizes = spark.createDataFrame([(3, "c", 2), (0, "a", 3), (1, "empty", 0), (2, "b", 1), (4, None, None)], "member_no int, member string, size bigint")
+    q = spark.createDataFrame([(x,) for x in (*range(-8, 8), None, 3, 3)], "idx bigint")
+    laid = [("a", 0), ("a", 1), ("a", 2), ("b", 0), ("c", 0), ("c", 1)]
+    got = sorted(((r.idx, r.member, r.local_idx) for r in sequence.locate(q, sizes, most).collect()), key=str)
+    want = [(x, *(laid[x] if x is not None and -6 <= x < 6 else (None, None))) for x in (*range(-8, 8), None, 3, 3)]
+    assert got == sorted(want, key=str)
+    assert sequence.locate(q.limit(0), sizes, most).count() == 0
+    assert [tuple(r)[1:] for r in sequence.locate(q.where("idx = 0"), sizes.limit(0), most).collect()] == [(None, None)]
+
+
+def test_ragged_lists_come_back(spark):
+    flat = spark.createDataFrame([(i, f"v{i}") for i in range(7)], "idx bigint, v string")
+    lengths = spark.createDataFrame([("b", 2), ("a", 3), ("c", 0), ("d", None), ("e", 1)], "k string, length int")
+    got = {r.k: r.v for r in sequence.split_ragged(flat, lengths, "k", "idx", "v").collect()}
+    assert got == {"a": ["v0", "v1", "v2"], "b": ["v3", "v4"], "c": [], "d": [], "e": ["v5"]}
+
+
+def test_pairs_by_place(spark):
+    h = spark.createDataFrame([(i, f"h{i}") for i in (5, 1, 3)], "id int, text string")
+    r = spark.createDataFrame([(i, f"r{i}") for i in (40, 10, 30)], "id int, text string")
+    got = sorted((x.idx, x.hyp_text, x.ref_text) for x in relations.paired(h, r, ["id"]).collect())
+    assert got == [(0, "h1", "r10"), (1, "h3", "r30"), (2, "h5", "r40")]
+    assert relations.paired(h, r.where("id < 40"), ["id"], strict=False).count() == 2
+    with pytest.raises(Exception, match="differ in length"):
+        relations.paired(h, r.where("id < 40"), ["id"]).collect()
+    assert relations.paired(h.limit(0), r.limit(0), ["id"]).count() == 0
+
+
+def test_bag_overlap(spark):
+    df = spark.createDataFrame([(["a", "a", "b", None], ["a", "a", "a", "c"]), ([], ["a"]), (None, ["a"]), (["x"], ["x", "x"])], "a array<string>, b array<string>")
+    assert [r[0] for r in df.select(relations.bag_overlap(df.a, df.b)).collect()] == [2, 0, 0, 1]
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_prototypes_in_blocks_give_the_same(spark, block_bytes):
+    g = np.random.default_rng(3)
+    protos = g.normal(size=(7, 5))
+    vecs = g.normal(size=(40, 5))
+    p = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(protos)] + [(99, None)], "class_id int, vector array<double>")
+    f = spark.createDataFrame([(i // 8, i % 8, v.tolist(), i % 5 > 0, i % 9) for i, v in enumerate(vecs)] + [(0, 99, None, True, 1)], "sample int, t int, vec array<double>, valid boolean, target_id int")
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    s = unit(vecs) @ unit(protos).T
+    e = np.exp(s / 0.1)
+    a = e / (e.sum(axis=1, keepdims=True) + 1)
+    keep = np.arange(40) % 5 > 0
+    got = {(r.sample, r.class_id): r.score for r in prototype.prototype_scores(f, p, block_bytes=block_bytes).collect()}
+    assert len(got) == 35
+    for (sample, c), score in got.items():
+        at = keep & (np.arange(40) // 8 == sample)
+        assert score == pytest.approx((a[at, c] * e[at, c]).sum() / e[at, c].sum())
+    losses = {(r.sample, r.t): r for r in prototype.frame_losses(f, p, block_bytes=block_bytes).collect()}
+    assert len(losses) == keep.sum()
+    for i in np.flatnonzero(keep):
+        r, z = losses[i // 8, i % 8], s[i] * 10
+        assert r["lse"] == pytest.approx(np.log(np.exp(z).sum())) and r["mean"] == pytest.approx(z.mean()) and r.class_id == z.argmax()
+        assert (r.hit is None) if i % 9 > 6 else r.hit == pytest.approx(z[i % 9])
+    assert prototype.similarities(f, p, block_bytes).count() == 7 * keep.sum()
+    assert prototype.prototype_scores(f, p.limit(0)).count() == 0
