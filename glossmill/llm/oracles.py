@@ -66,6 +66,15 @@ ends AS (
   FROM covered c JOIN units x ON x.corpus = c.corpus AND x.u = c.eu AND x.split <> 'train' JOIN units y ON y.corpus = c.corpus AND y.u = c.tu AND y.split = 'train'
 ), records AS (SELECT corpus, rec_eval AS rec_id, split, source, count(*) AS pairs, max(covered)::INT AS covered, max(en)::INT AS n_units FROM pairs GROUP BY ALL)"""
 
+#: Eval texts of five units or more and every stretch of longer train texts that shares all but two of their distinct units.
+_INSIDE = _PAIRS[: _PAIRS.index("near AS MATERIALIZED")] + f"""long AS MATERIALIZED (
+  SELECT corpus, e.u AS eu, t.u AS tu, e.n AS en, t.n AS tn, list_distinct(list_concat(e.u, t.u)) AS d FROM e JOIN t USING (corpus)
+  WHERE e.n >= 5 AND t.n > e.n + 2 AND len(list_distinct(e.u)) - len(list_intersect(e.u, t.u)) <= least(2, e.n // 5)
+), codes AS (SELECT corpus, eu, tu, en, {_CODES.format("eu")} AS es, {_CODES.format("tu")} AS ts FROM long),
+stretches AS (SELECT corpus, eu, tu, en, es, ts, unnest(range(1, length(ts) + 1)) AS i FROM codes),
+inside AS (SELECT corpus, eu, tu, en, min(levenshtein(es, ts[i:i + m - 1])) AS edits FROM (SELECT *, unnest([en - 2, en - 1, en, en + 1, en + 2]) AS m FROM stretches) GROUP BY ALL),
+holding AS (SELECT corpus, eu, tu, en, edits, (SELECT count(*) FROM units y WHERE y.corpus = inside.corpus AND y.u = tu AND y.split = 'train') AS copies FROM inside WHERE edits <= least(2, en // 5))"""
+
 ORACLES = {
     "p1_terms": f"{_TERMS} SELECT lemma, n, n_records, mark FROM marked",
     "p1_found": f"{_TERMS} SELECT lemma, mark FROM marked WHERE mark IS NOT NULL",
@@ -78,6 +87,8 @@ ORACLES = {
         SELECT h.corpus, h.split, h.source, records, coalesce(overlapping, 0) AS overlapping, coalesce(p.pairs, 0) AS pairs, coverage
         FROM held h LEFT JOIN per p ON h.corpus = p.corpus AND h.split = p.split AND h.source IS NOT DISTINCT FROM p.source""",
     # no text is near the size: those beyond it have more than 8,000 bytes, all others fewer than 1,500
+    "p4_contained": f"""{_INSIDE}, per AS (SELECT corpus, eu, en, count(*) AS texts, sum(copies)::BIGINT AS records, min(edits)::INT AS edits FROM holding GROUP BY ALL)
+        SELECT DISTINCT u.corpus, rec_id, split, source, en::INT AS n_units, texts, records, edits FROM per JOIN units u ON u.corpus = per.corpus AND u.u = eu AND split <> 'train'""",
     "p5_checked": "SELECT limit_name, (SELECT count(*) FROM documents) AS documents, 0::BIGINT AS overfull, 0::BIGINT AS cut, true AS \"full\" FROM token_limits WHERE limit_name LIKE 'container%'",
     "p6_checked": "SELECT source, 0::BIGINT AS \"foreign\", 0::BIGINT AS repeated, false AS over FROM mix_targets",
     "p7_checked": "SELECT limit_name, doc_id, md5(text) AS digest, true AS within, true AS shared FROM documents, token_limits WHERE limit_name LIKE 'piece%' AND text IS NOT NULL",

@@ -100,14 +100,14 @@ def gram_sizes(n: int, k_max: int) -> set[int]:
     return {0, 1} if n <= EDITS else {max(1, min(k_max, m // 3)) for m in range(n - EDITS, n + 1)}
 
 
-def grams(texts: list[str], unit: str, seed: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """``(k, row, position, hash)`` of the fingerprints of the texts, by ``k``."""
+def grams(texts: list[str], unit: str, seed: int, every: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """``(k, row, position, hash)`` of the fingerprints of the texts, by ``k``: of those a text carries, or of ``every`` length up to the greatest."""
     flat, sizes = unit_codes(texts, unit)
     ends = np.cumsum(sizes)
     row = np.repeat(np.arange(len(sizes)), sizes)
     pos = np.arange(len(flat)) - np.repeat(ends - sizes, sizes)
     k_max = K_MAX[unit]
-    wanted = {n: gram_sizes(int(n), k_max) for n in np.unique(sizes)}
+    wanted = {n: set(range(1, k_max + 1)) if every else gram_sizes(int(n), k_max) for n in np.unique(sizes)}
     with np.errstate(over="ignore"):
         for k in sorted(set().union(*wanted.values()) if wanted else ()):
             carries = np.array([k in wanted[n] for n in sizes])
@@ -270,9 +270,9 @@ def _parts(corpus: pa.Array, unit_of: dict[str, str]) -> Iterator[tuple[int, str
             yield seed, unit, rows
 
 
-def _hashes(texts: pa.RecordBatch, unit_of: dict[str, str]) -> Iterator[np.ndarray]:
+def _hashes(texts: pa.RecordBatch, unit_of: dict[str, str], every: bool = False) -> Iterator[np.ndarray]:
     for seed, unit, rows in _parts(texts.column(0), unit_of):
-        for _, _, _, h in grams(texts.column(1).take(pa.array(rows)).to_pylist(), unit, seed):
+        for _, _, _, h in grams(texts.column(1).take(pa.array(rows)).to_pylist(), unit, seed, every):
             yield h
 
 
@@ -300,7 +300,7 @@ def passes(h: np.ndarray, words: np.ndarray) -> np.ndarray:
     return (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
-def gram_levels(texts: DataFrame, unit_of: dict[str, str], only) -> np.ndarray:
+def gram_levels(texts: DataFrame, unit_of: dict[str, str], only, every: bool = False) -> np.ndarray:
     """How often ``texts (corpus, text)`` hold each class of fingerprints that pass ``only``, as whole binary logarithms.
 
     Counts are exact sums over all texts. Those below a least level are taken as
@@ -311,7 +311,7 @@ def gram_levels(texts: DataFrame, unit_of: dict[str, str], only) -> np.ndarray:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for h in _hashes(batch, unit_of):
+            for h in _hashes(batch, unit_of, every):
                 values, n = np.unique(h[passes(h, only.value)], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], names=["gram", "n"])
 
@@ -367,6 +367,25 @@ def minima(texts: DataFrame, unit_of: dict[str, str], levels, only=None, most: i
     return texts.select("corpus", "tid", "text").mapInArrow(run, "gram bigint, tid bigint, sig bigint, size int, k tinyint, lo int, hi int")
 
 
+def occurrences(texts: DataFrame, unit_of: dict[str, str], levels, only, most: int = PART) -> DataFrame:
+    """``(gram, tid, size, k, at)``: every place of every fingerprint, of any length, of ``texts (corpus, tid, text)`` that passes ``only``, in the part of its text."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for seed, unit, rows in _parts(batch.column(0), unit_of):
+                values = batch.column(2).take(pa.array(rows)).to_pylist()
+                tids, sizes = batch.column(1).to_numpy()[rows], np.array([len(units(t, unit)) for t in values], np.int32)
+                for k, row, pos, h in grams(values, unit, seed, every=True):
+                    parts = np.maximum(1, (1 << levels.value[_index(h, len(levels.value))].astype(np.int64)) // most).astype(np.uint64)
+                    part = mix(tids[row].astype(np.uint64)) % parts
+                    gram = np.where(part > 0, mix(h + part), h)
+                    kept = passes(gram, only.value)
+                    row, pos, gram = row[kept], pos[kept], gram[kept]
+                    yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(tids[row]), pa.array(sizes[row]), pa.array(np.full(len(row), k, np.int8)), pa.array(pos.astype(np.int32))], names=["gram", "tid", "size", "k", "at"])
+
+    return texts.select("corpus", "tid", "text").mapInArrow(run, "gram bigint, tid bigint, size int, k tinyint, at int")
+
+
 def _verify(unit_of: dict[str, str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -425,6 +444,117 @@ def _n_units(unit_of: dict[str, str]) -> Column:
     return F.coalesce(*[F.when(F.col("corpus") == c, F.length("text") if u == "char" else F.size(F.split("text", " "))) for c, u in unit_of.items()]).cast("int")
 
 
+#: Units that a record has at least to be looked for inside longer ones, of which one in five may be edited.
+LEAST, PER_EDIT = 5, 5
+
+
+def reach_end(a: Sequence, b: Sequence, limit: int) -> tuple[int, int] | None:
+    """The least edits up to ``limit`` that turn ``a`` into a beginning of ``b``, and how long that is; None beyond."""
+    n, m = len(a), len(b)
+    last: dict[int, int] = {}
+    for e in range(limit + 1):
+        now: dict[int, int] = {}
+        for d in range(-e, e + 1):
+            tries = [0] if e == 0 else [last[x] + step for x, step in ((d - 1, 0), (d + 1, 1), (d, 1)) if x in last]
+            tries = [i for i in tries if i <= n and 0 <= i + d <= m]
+            if tries:
+                i = max(tries)
+                while i < n and i + d < m and a[i] == b[i + d]:
+                    i += 1
+                now[d] = i
+        done = [n + d for d, i in now.items() if i == n]
+        if done:
+            return e, min(done, key=lambda j: (abs(j - n), j))
+        last = now
+    return None
+
+
+def find_inside(a: Sequence, b: Sequence, seeds: Iterable[tuple[int, int]], limit: int) -> tuple[int, int, int] | None:
+    """``(edits, place, units)`` of the stretch of ``b`` that is nearest to ``a``, through one of ``seeds (units, place in b)``; the first of equal ones, None beyond ``limit`` edits."""
+    best, tried = None, set()
+    for k, j in sorted(seeds, key=lambda s: (s[1], s[0])):
+        seed = b[j : j + k]
+        for i in range(len(a) - k + 1):
+            if (i, j) in tried or a[i : i + k] != seed:
+                continue
+            tried.add((i, j))
+            left = reach_end(a[:i][::-1], b[max(0, j - i - limit) : j][::-1], limit)
+            right = left and reach_end(a[i + k :], b[j + k : j + len(a) - i + limit], limit - left[0])
+            if right:
+                best = min(best or (limit + 1, 0, 0), (left[0] + right[0], j - left[1], left[1] + k + right[1]))
+    return best
+
+
+def _find(unit_of: dict[str, str]):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for i, (corpus, x, y, seeds) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("corpus", "text_e", "text_t", "seeds")))):
+                a, b = units(x, unit_of[corpus]), units(y, unit_of[corpus])
+                got = find_inside(a, b, [(s["k"], s["at"]) for s in seeds], min(EDITS, len(a) // PER_EDIT))
+                if got is not None:
+                    rows.append((i, *got, len(a)))
+            at, edits, first, n, size = zip(*rows) if rows else ((),) * 5
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("tid_e").take(at), batch.column("tid_t").take(at), *(pa.array(x, pa.int32()) for x in (edits, first, n, size))], names=["tid_e", "tid_t", "edits", "first", "stretch", "n_units"])
+
+    return run
+
+
+def contained_texts(texts: DataFrame, unit_of: dict[str, str], most: int = PART) -> DataFrame:
+    """``(tid_e, tid_t, edits, first, stretch, n_units)``: eval texts of five units or more that are a stretch of a train text with more units than two edits explain.
+
+    Up to two edits, and no more than one for five units. The minima of the eval
+    text are looked up among all fingerprints of the train texts: two edits
+    leave one of them whole inside the stretch, so nothing is missed. From each
+    place where one is found the alignment is extended to both ends of the eval text.
+    """
+    context = texts.sparkSession.sparkContext
+    held, train = texts.where("in_eval").where(_n_units(unit_of) >= LEAST), texts.where("in_train")
+    expected = (held.agg(F.sum(F.length("text"))).first()[0] or 0) // 4
+    any_of = context.broadcast(gram_filter(held, None, unit_of, expected))
+    levels = context.broadcast(gram_levels(train, unit_of, any_of, every=True))
+    e = materialize(minima(held, unit_of, levels, most=most).where("k > 0"), "minima")
+    only = context.broadcast(gram_filter(e, "gram", unit_of, e.count()))
+    t = occurrences(train, unit_of, levels, only, most)
+    e = e.select("gram", F.col("tid").alias("tid_e"), F.col("size").alias("size_e"), F.col("k").alias("k_e"), "lo", "hi")
+    t = t.select("gram", F.col("tid").alias("tid_t"), F.col("size").alias("size_t"), F.col("k").alias("k_t"), "at")
+    fits = (F.col("k_e") == F.col("k_t")) & (F.col("size_t") > F.col("size_e") + EDITS) & (F.col("at") >= F.col("lo") - EDITS) & (F.col("size_t") - F.col("at") >= F.col("size_e") - F.col("hi") - EDITS)
+    seeds = e.join(t, "gram").where(fits).groupBy("tid_e", "tid_t").agg(F.collect_set(F.struct(F.col("k_t").cast("int").alias("k"), "at")).alias("seeds"))
+    seeds = materialize(seeds, "inside")
+    x = texts.select("corpus", F.col("tid").alias("tid_e"), F.col("text").alias("text_e"))
+    y = texts.select(F.col("tid").alias("tid_t"), F.col("text").alias("text_t"))
+    both = seeds.join(x, "tid_e").join(y, "tid_t").select("tid_e", "tid_t", "corpus", "text_e", "text_t", "seeds")
+    return both.mapInArrow(_find(unit_of), "tid_e bigint, tid_t bigint, edits int, first int, stretch int, n_units int")
+
+
+def _distinct_texts(forms: DataFrame, unit_of: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """The records with their texts' digests, and the distinct texts with numbers and how many train records have them, as tables."""
+    kept = forms.where(F.col("split").isin("train", "dev", "test") & F.col("rec_id").isNotNull())
+    text = F.coalesce(*[F.when(F.col("corpus") == c, units_column(F.col("form"), u)) for c, u in unit_of.items()])
+    rows = kept.select("corpus", "rec_id", "split", "source", text.alias("text")).where("text is not null")
+    rows = materialize(rows.select("*", *fingerprint("text", "h")), "units")
+    train = F.col("split") == "train"
+    part = rows.groupBy("corpus", "h1", "h2").agg(F.first("text").alias("text"), F.max(~train).alias("in_eval"), F.max(train).alias("in_train"), F.sum(train.cast("bigint")).alias("copies"))
+    return rows, materialize(part.withColumn("tid", F.monotonically_increasing_id()), "texts")
+
+
+def contained_records(forms: DataFrame, unit_of: dict[str, str], most: int = PART) -> DataFrame:
+    """``(corpus, rec_id, split, source, n_units, texts, records, edits)``: dev and test records that stand, within two edits, inside longer train records.
+
+    One row per record, with the numbers of distinct train texts and of train
+    records that hold it, and the fewest edits. Rows that make no pair in
+    ``cross_split_pairs`` and records of fewer than five units are no case;
+    repeated rows come once.
+    """
+    rows, texts = _distinct_texts(forms, unit_of)
+    found = contained_texts(texts, unit_of, most).join(texts.select(F.col("tid").alias("tid_t"), "copies"), "tid_t")
+    per = found.groupBy("tid_e").agg(F.count("*").alias("texts"), F.sum("copies").alias("records"), F.min("edits").alias("edits"), F.max("n_units").alias("n_units"))
+    keyed = per.join(texts.select(F.col("tid").alias("tid_e"), "corpus", "h1", "h2"), "tid_e")
+    held = rows.where("split <> 'train'").select("corpus", "h1", "h2", "rec_id", "split", "source").distinct()
+    return held.join(keyed, ["corpus", "h1", "h2"]).select("corpus", "rec_id", "split", "source", "n_units", "texts", "records", "edits")
+
+
 def cross_split_pairs(forms: DataFrame, unit_of: dict[str, str], most: int = PART) -> DataFrame:
     """``(corpus, rec_a, rec_b, rec_eval, split, source, edits, covered, n_units)``: all pairs of a train and a dev or test record within two edits.
 
@@ -435,13 +565,8 @@ def cross_split_pairs(forms: DataFrame, unit_of: dict[str, str], most: int = PAR
     is compared once; its copies are joined to the result. A fingerprint is split
     where more than about ``most`` train texts hold it.
     """
-    kept = forms.where(F.col("split").isin("train", "dev", "test") & F.col("rec_id").isNotNull())
-    text = F.coalesce(*[F.when(F.col("corpus") == c, units_column(F.col("form"), u)) for c, u in unit_of.items()])
-    rows = kept.select("corpus", "rec_id", "split", "source", text.alias("text")).where("text is not null")
-    rows = materialize(rows.select("*", *fingerprint("text", "h")), "units")
+    rows, texts = _distinct_texts(forms, unit_of)
     key = ["corpus", "h1", "h2"]
-    part = rows.groupBy(*key).agg(F.first("text").alias("text"), F.max(F.col("split") != "train").alias("in_eval"), F.max(F.col("split") == "train").alias("in_train"))
-    texts = materialize(part.withColumn("tid", F.monotonically_increasing_id()), "texts")
     same = texts.where("in_eval and in_train").select(F.col("tid").alias("tid_e"), F.col("tid").alias("tid_t"), F.lit(0).alias("edits"), _n_units(unit_of).alias("covered"), _n_units(unit_of).alias("n_units"))
     found = materialize(same.unionByName(near_texts(texts, unit_of, most)), "found")
     ids = texts.select("tid", *key)

@@ -57,6 +57,10 @@ def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.overlap_records(forms(spark, sf_dir, "split", "source"), UNITS)
 
 
+def p4_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.contained_records(forms(spark, sf_dir, "split", "source"), UNITS)
+
+
 def limits(spark: SparkSession, sf_dir: str, kind: str) -> list:
     """The rows of token_limits of one kind; the table is fixed at four rows."""
     return sorted(r for r in table(spark, sf_dir, "token_limits").collect() if r.limit_name.startswith(kind))
@@ -151,6 +155,6 @@ def p7_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_terms, p2_found, p2_forms, p4_found, p4_records, p4_report, p5_containers, p5_fill, p5_checked, p6_mix, p6_shares, p6_checked, p7_found, p7_pieces, p7_checked,
+        p1_found, p1_terms, p2_found, p2_forms, p4_found, p4_records, p4_report, p4_contained, p5_containers, p5_fill, p5_checked, p6_mix, p6_shares, p6_checked, p7_found, p7_pieces, p7_checked,
     )
 }

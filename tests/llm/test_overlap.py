@@ -168,3 +168,57 @@ def test_frequent_fingerprints_are_dealt_into_parts(spark):
     rows += [("b", 1000 + i, "dev" if i % 3 == 0 else "train", None, f"kurz{i}") for i in range(30)]
     got = overlap.cross_split_pairs(spark.createDataFrame(rows, "corpus string, rec_id bigint, split string, source string, form string"), {"b": "word"}, most=4)
     assert {(r.corpus, r.rec_a, r.rec_b) for r in got.collect()} == brute(rows, {"b": "word"})
+
+
+def nearest_inside(a, b):
+    """The least edits between ``a`` and any stretch of ``b``, by the whole table."""
+    row = [0] * (len(b) + 1)
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return min(row)
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefghijklmnop"])
+def test_stretches_found_from_seeds_are_the_nearest(alphabet):
+    g = random.Random(12)
+    hits = 0
+    for _ in range(2500):
+        a = [g.choice(alphabet) for _ in range(g.randrange(5, 18))]
+        b = [g.choice(alphabet) for _ in range(g.randrange(0, 8))] + edited(g, a, alphabet, g.randrange(0, 4)) + [g.choice(alphabet) for _ in range(g.randrange(0, 8))]
+        d = nearest_inside(a, b)
+        seeds = [(1, j) for j in range(len(b))]
+        got = overlap.find_inside(a, b, seeds, 2)
+        assert (got and got[0]) == (d if d <= 2 else None)
+        if got:
+            hits += 1
+            assert levenshtein(a, b[got[1] : got[1] + got[2]]) == got[0]
+    assert hits > 800
+
+
+def test_records_inside_longer_ones_equal_brute_force(spark):
+    g = random.Random(13)
+    rows, unit_of = [], {"a": "char", "b": "word"}
+    for i in range(160):
+        c = g.choice("ab")
+        join = ("" if c == "a" else " ").join
+        old = [overlap.units(r[4], unit_of[c]) for r in rows if r[0] == c]
+        alphabet = "xy" if g.random() < 0.3 else "abcdefghijkl"
+        t = edited(g, g.choice(old), alphabet, g.randrange(0, 4)) if old and g.random() < 0.6 else [g.choice(alphabet) for _ in range(g.randrange(2, 16))]
+        if g.random() < 0.5:
+            t = [g.choice(alphabet) for _ in range(g.randrange(0, 20))] + t + [g.choice(alphabet) for _ in range(g.randrange(0, 20))]
+        if t:
+            rows.append((c, i, g.choice(["train", "train", "dev", "test"]), None, join(t)))
+    rows += [rows[0], ("a", 900, None, None, "abcdefgh"), ("a", 901, "dev", None, None), ("b", 902, "dev", None, "a b c d")]
+    df = spark.createDataFrame(rows, "corpus string, rec_id bigint, split string, source string, form string").repartition(3)
+    want = {}
+    of = lambda r: tuple(overlap.units(r[4], unit_of[r[0]]))
+    for e in {r for r in rows if r[2] in ("dev", "test") and r[4]}:
+        a = of(e)
+        near = [(of(t), d) for t in rows if t[2] == "train" and t[0] == e[0] and len(of(t)) > len(a) + 2 and (d := nearest_inside(a, of(t))) <= min(2, len(a) // 5)]
+        if len(a) >= 5 and near:
+            want[e[0], e[1]] = (len({t for t, _ in near}), min(d for _, d in near))
+    got = {(r.corpus, r.rec_id): (r.texts, r.edits) for r in overlap.contained_records(df, unit_of, most=4).collect()}
+    assert got == want and len(want) > 10
+    assert overlap.contained_records(df.limit(0), unit_of).count() == 0
