@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from collections import defaultdict
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 #: Fixed values of checkpoint names.
 BEST_NAME, LATEST_NAME, SCORE_FLOOR = "_result_checkpoint_", "latest", -100.0
@@ -109,9 +113,43 @@ def learning_rate(name: str, it: Column, **params) -> Column | None:
     return known[name](it, **params)
 
 
-def keep_one(df: DataFrame, best: DataFrame, path: str) -> DataFrame:
-    """The paths of ``df`` that are no longer needed once ``best``, one row, is kept."""
-    return df.join(best.select(F.col("path").alias(path)), path, "left_anti")
+def prune_checkpoints(spark: SparkSession, folder: str, extension: str = "pt") -> DataFrame:
+    """``(path, kept)`` of the checkpoint files of a folder, of which all but the best and the latest are removed; other files stay."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = spark.createDataFrame([(str(f.getPath()),) for f in fs.listStatus(p)], "path string")
+    keep = {best_checkpoint(files, "path", extension).first()["path"], latest_checkpoint(files, "path", extension).first()["path"]}
+    found = [r["path"] for r in parsed_checkpoints(files, "path", extension).select("path").union(files.where(F.col("path").rlike(rf"{LATEST_NAME}_checkpoint.*\d+\.{extension}$"))).distinct().collect()]
+    for path in found:
+        if path not in keep:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(path), False)
+    return spark.createDataFrame([(x, x in keep) for x in sorted(found)], "path string, kept boolean")
+
+
+class Events(StreamingQueryListener):
+    """Functions to call when something happens; as a listener it also fires ``started``, ``progress`` and ``terminated`` of streams."""
+
+    def __init__(self):
+        self.handlers: dict[str, list[Callable]] = defaultdict(list)
+
+    def add(self, event: str, handler: Callable, every: int = 1) -> None:
+        """Call ``handler(state)`` at each ``every``-th ``event``."""
+        self.handlers[event].append([handler, every, 0])
+
+    def fire(self, event: str, state=None) -> None:
+        for entry in self.handlers[event]:
+            entry[2] += 1
+            if entry[2] % entry[1] == 0:
+                entry[0](state)
+
+    def onQueryStarted(self, event) -> None:
+        self.fire("started", event)
+
+    def onQueryProgress(self, event) -> None:
+        self.fire("progress", event)
+
+    def onQueryTerminated(self, event) -> None:
+        self.fire("terminated", event)
 
 
 def bleu_line(scores: list[Column], precisions: list[Column], bp: Column, sys_len: Column, ref_len: Column) -> Column:

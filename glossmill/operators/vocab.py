@@ -113,3 +113,22 @@ def pseudo_glosses(df: DataFrame, sentence: str, tokens: Column, path: str | Non
     for part, name in zip(out, ("dict_sentence", "dict_lem_counter", "dict_lem_to_id")):
         part.write.parquet(f"{path}/{name}")
     return tuple(df.sparkSession.read.schema(part.schema).parquet(f"{path}/{name}") for part, name in zip(out, ("dict_sentence", "dict_lem_counter", "dict_lem_to_id")))
+
+
+def rows_at(df: DataFrame, index: str, rows: DataFrame, key: str, what: str = "row") -> DataFrame:
+    """``df`` with the columns of the row of ``rows`` whose ``key`` is ``index``: a lookup in a table of embeddings or positions.
+
+    An index without a row makes evaluation fail; a null index has null columns.
+    ``key`` must be unique; the engine sends ``rows`` to the tasks if it is small.
+    """
+    found = rows.withColumnRenamed(key, "_key").withColumn("_found", F.lit(True))
+    out = df.join(found, F.col(index) == F.col("_key"), "left")
+    missing = F.col("_found").isNull() & F.col(index).isNotNull()
+    return out.withColumn(index, F.when(missing, F.raise_error(F.lit(f"no such {what}"))).otherwise(F.col(index))).drop("_key", "_found")
+
+
+def vocabulary_vectors(ids: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``(id, lemma, vec)``: the vector of each entry of ``ids (lemma, id)``; entries that ``vectors (word, vec)`` lacks have a vector of zeros."""
+    width = F.lit(vectors.agg(F.coalesce(F.max(F.size("vec")), F.lit(0))).first()[0])
+    joined = ids.join(vectors.withColumnRenamed("word", "lemma"), "lemma", "left")
+    return joined.select("id", "lemma", F.coalesce("vec", F.array_repeat(F.lit(0.0), width)).alias("vec"))

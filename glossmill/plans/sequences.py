@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.functions import math
-from glossmill.operators import multilabel, prototype, sequence
-from glossmill.session import table
+from glossmill.operators import images, multilabel, prototype, sequence, vocab
+from glossmill.session import scratch, table
+from glossmill.sources import delimited
 
 
 def _videos(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,6 +236,34 @@ def sinusoid_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both[0].join(both[1], ["pos", "i"], "full").select("pos", "i", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
+def position_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row of a table of sine and cosine values for the position of each event."""
+    e = _events(spark, sf_dir).select("event_id", "pos")
+    top = e.agg(F.coalesce(F.max("pos"), F.lit(0))).first()[0]
+    rows = spark.range(0, top + 1).select("id", math.sinusoids(F.col("id"), 4).alias("row"))
+    at = vocab.rows_at(e, "pos", rows, "id", "position")
+    return at.select("event_id", "pos", *[F.round(F.get("row", F.lit(i)), 6).alias(f"p{i}") for i in range(4)])
+
+
+def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of a vocabulary from a text file of word vectors, which lacks every seventh word."""
+    e = table(spark, sf_dir, "embeddings").where("embedding is not null").select("vec_id", F.concat(F.lit("w"), F.col("vec_id").cast("string")).alias("lemma"), "embedding")
+    at = scratch(spark, "vectors")
+    delimited.write_vectors(e.where("vec_id % 7 > 0"), "lemma", "embedding", at)
+    found = vocab.vocabulary_vectors(e.select("lemma", F.col("vec_id").alias("id")), delimited.read_vectors(spark, at))
+    return found.select("id", "lemma", F.size("vec").alias("width"), F.round(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x), 4).alias("total"))
+
+
+def frame_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of raw pixels as the evaluation transform gives them at their own size: normalized values, summed by channel."""
+    e = table(spark, sf_dir, "embeddings").where("embedding is not null and size(embedding) >= 48")
+    byte = lambda x: F.lpad(F.hex(F.pmod(F.floor(x.cast("double") * 1000), F.lit(256))), 2, "0")
+    raw = e.select("vec_id", F.unhex(F.array_join(F.transform(F.slice("embedding", 1, 48), byte), "")).alias("pixels"), F.lit(4).alias("side"))
+    out = raw.select("vec_id", images.augmented(F.col("pixels"), F.col("side"), F.col("side"), F.col("vec_id").cast("string"), images.Augmentation(size=4).evaluation()).alias("v"))
+    channel = lambda c: F.aggregate(F.filter("v", lambda x, i: i % 3 == c), F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return out.select("vec_id", F.size("v").alias("n"), *[F.round(channel(c), 3).alias(f"c{c}") for c in range(3)])
+
+
 def rotary(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select("vec_id", _weighted_sum(math.rotate_by_position(F.col("embedding"), F.col("vec_id") % 100)).alias("rotated"))
@@ -251,7 +280,7 @@ QUERIES = {
     for f in (
         stride_sample, jitter_sample, cap_sample, event_positions, downsample_pool, local_window, local_attention, causal_sum, position_ids, prefix_offsets, concat_index, locate_ordinals, full_batches, epoch_cap, ragged_split,
         pad_mask, teacher_shift, until_end, truncated_ids, prototype_scores, recall_f1_micro, recall_f1_macro, class_counts, bce_loss, ce_loss, ce_loss_masked, weighted_loss, arg_max_class, cosine_to_first, normalized_channels, rescaled_points,
-        sinusoid_table, rotary, shuffled_order,
+        sinusoid_table, position_rows, word_vectors, frame_values, rotary, shuffled_order,
     )
 }
 
@@ -322,6 +351,10 @@ ORACLES = {
     "sinusoid_table": """WITH g AS (SELECT pos, unnest(range(17)) AS i FROM range(512) t(pos)),
         v AS (SELECT pos, i, pos / pow(10000.0::DOUBLE, (i - i % 2) / 16.0::DOUBLE) AS a, pos * pow(10000.0::DOUBLE, -(i % 8) / 7.0::DOUBLE) AS b FROM g)
         SELECT pos, i::INT AS i, round(CASE WHEN i < 16 THEN CASE WHEN i % 2 = 0 THEN sin(a) ELSE cos(a) END END, 6) AS x, round(CASE WHEN pos = 1 OR i = 16 THEN 0.0 WHEN i < 8 THEN sin(b) ELSE cos(b) END, 6) AS y FROM v""",
+    "position_rows": f"WITH {_E} SELECT event_id, pos, round(sin(pos), 6) AS p0, round(cos(pos), 6) AS p1, round(sin(pos / 100.0::DOUBLE), 6) AS p2, round(cos(pos / 100.0::DOUBLE), 6) AS p3 FROM e",
+    "word_vectors": f"{_EW} SELECT vec_id AS id, 'w' || vec_id AS lemma, 64::INT AS width, round(CASE WHEN vec_id % 7 > 0 THEN sum(x) ELSE 0 END, 4) AS total FROM f GROUP BY vec_id",
+    "frame_values": f"""{_EW}, c AS (SELECT vec_id, i, ((floor(x * 1000)::BIGINT % 256 + 256) % 256 / 255.0::DOUBLE - [0.485, 0.456, 0.406][i % 3 + 1]::DOUBLE) / [0.229, 0.224, 0.225][i % 3 + 1]::DOUBLE AS v FROM f WHERE i < 48)
+        SELECT vec_id, 48::INT AS n, round(sum(v) FILTER (i % 3 = 0), 3) AS c0, round(sum(v) FILTER (i % 3 = 1), 3) AS c1, round(sum(v) FILTER (i % 3 = 2), 3) AS c2 FROM c GROUP BY vec_id""",
     "rotary": f"""{_EW}, r AS (SELECT a.vec_id, a.i, a.x, CASE WHEN a.i < 32 THEN -b.x ELSE b.x END AS o, (a.vec_id % 100) * pow(10000.0::DOUBLE, -(a.i % 32) / 32.0::DOUBLE) AS g FROM f a JOIN f b ON a.vec_id = b.vec_id AND b.i = (a.i + 32) % 64)
         SELECT vec_id, round(sum((x * cos(g) + o * sin(g)) * (i + 1)), 5) AS rotated FROM r GROUP BY vec_id""",
     "shuffled_order": "SELECT row_number() OVER (ORDER BY md5(rec_id || '|0|2'), rec_id) - 1 AS idx, rec_id FROM corpus_a",

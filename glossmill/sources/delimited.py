@@ -44,6 +44,17 @@ def write_dictionary(df: DataFrame, key: str, value: str, path: str, entries: in
     per.select("value").write.text(path)
 
 
+def read_vectors(spark: SparkSession, path: str, sep: str = " ") -> DataFrame:
+    """``(word, vec array<double>)`` of text files with a word and its numbers on each line; a first line of two whole numbers, and lines without numbers, are left out."""
+    parts = F.split(F.rtrim("value"), sep, -1)
+    lines = spark.read.text(path).where(F.size(parts) > 2)
+    return lines.select(parts[0].alias("word"), F.slice(parts, 2, F.size(parts)).cast("array<double>").alias("vec"))
+
+
+def write_vectors(df: DataFrame, word: str, vec: str, path: str, sep: str = " ") -> None:
+    df.select(F.concat_ws(sep, word, F.array_join(F.col(vec).cast("array<string>"), sep))).write.text(path)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(value)``: the lines of plain or compressed text files."""
     return spark.read.text(path)

@@ -9,6 +9,7 @@ from glossmill.functions import text
 from glossmill.operators import control, images, models, relations, vocab
 from glossmill.session import shared_dir
 from glossmill.sources import delimited, frames
+from glossmill.sources import registry as sources
 from glossmill.streaming import metrics
 
 
@@ -176,3 +177,46 @@ def test_no_machine_local_folder_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Fake())
+
+
+def test_checkpoints_are_pruned(spark, tmp_path):
+    names = ["m_result_checkpoint_3_bleu4_0.25.pt", "m_result_checkpoint_7_bleu4_0.31.pt", "latest_checkpoint_120.pt", "latest_checkpoint_95.pt", "notes.txt"]
+    for n in names:
+        (tmp_path / n).write_text("x")
+    got = {r.path.rsplit("/", 1)[1]: r.kept for r in control.prune_checkpoints(spark, str(tmp_path)).collect()}
+    assert got == {names[0]: False, names[1]: True, names[2]: True, names[3]: False}
+    assert {p.name for p in tmp_path.iterdir() if not p.name.startswith(".")} == {names[1], names[2], names[4]}
+
+
+def test_events_fire_their_handlers():
+    seen = []
+    events = control.Events()
+    events.add("epoch", lambda s: seen.append(("all", s)))
+    events.add("epoch", lambda s: seen.append(("second", s)), every=2)
+    for i in range(3):
+        events.fire("epoch", i)
+    events.fire("other")
+    assert seen == [("all", 0), ("all", 1), ("second", 1), ("all", 2)]
+
+
+def test_sources_by_name(spark, tmp_path):
+    spark.createDataFrame([("a", "dev"), ("b", "train")], "name string, split string").write.parquet(f"{tmp_path}/t")
+    df, info = sources.load(spark, "parquet", path=f"{tmp_path}/t", split="dev")
+    assert [r.name for r in df.collect()] == ["a"] and info["split"] == "dev"
+    with pytest.raises(KeyError):
+        sources.load(spark, "no_such_source_module")
+    with pytest.raises(ValueError):
+        sources.register("parquet")(lambda spark: None)
+
+
+def test_rows_at_and_vectors(spark, tmp_path):
+    rows = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "id int, row array<double>")
+    df = spark.createDataFrame([("a", 1), ("b", None)], "k string, pos int")
+    assert {r.k: r.row for r in vocab.rows_at(df, "pos", rows, "id").collect()} == {"a": [2.0], "b": None}
+    with pytest.raises(Exception, match="no such row"):
+        vocab.rows_at(df.withColumn("pos", F.lit(7)), "pos", rows, "id").collect()
+    (tmp_path / "v.vec").write_text("3 2\nwind 0.5 1.5\nregen -1 2\n\n")
+    v = delimited.read_vectors(spark, f"{tmp_path}/v.vec")
+    assert {r.word: r.vec for r in v.collect()} == {"wind": [0.5, 1.5], "regen": [-1.0, 2.0]}
+    ids = spark.createDataFrame([("wind", 0), ("nord", 1)], "lemma string, id int")
+    assert {r.lemma: r.vec for r in vocab.vocabulary_vectors(ids, v).collect()} == {"wind": [0.5, 1.5], "nord": [0.0, 0.0]}
