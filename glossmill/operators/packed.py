@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import chain
 
 import ahocorasick
@@ -295,19 +296,19 @@ def split_field(field: str, automaton: ahocorasick.Automaton | None = None) -> l
 
 
 def learned_values(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """``(v)``: the distinct values with separators in them that stand in quotes anywhere in the fields, as they are written."""
+    """``(v)``: the values with separators in them that stand in quotes anywhere in the fields, as they are written, once for each row."""
     raw = F.array_distinct(F.filter(F.flatten(F.array(*[F.coalesce(F.expr(f"regexp_extract_all({f}, r'{_quote_sql(_QUOTED_JAVA)}', 0)"), F.array()) for f in fields])), lambda x: ~x.rlike(rf"""^.{_RUN_JAVA}*.$""")))
     quoted = df.where(" or ".join(f"contains({f}, '\"') or contains({f}, \"'\")" for f in fields))
-    return quoted.select(F.explode(raw).alias("v")).distinct()
+    return quoted.select(F.explode(raw).alias("v"))
 
 
-def learn_dictionary(df: DataFrame, fields: Sequence[str], unquoted: bool = False, shard_bytes: int = SHARD_BYTES) -> list[Dictionary]:
-    """The known whole values of the fields, those of ``learned_values``, as dictionaries of at most about ``shard_bytes`` each.
+def learn_dictionary(tables: Sequence[tuple[DataFrame, Sequence[str]]], unquoted: bool = False, shard_bytes: int = SHARD_BYTES) -> list[Dictionary]:
+    """The known whole values of the fields of the tables, those of ``learned_values``, as dictionaries of at most about ``shard_bytes`` each.
 
     No value is left out. One dictionary, the usual case, is sent to every
     task; of several one at a time is, in rounds.
     """
-    table = materialize(learned_values(df, fields), "dictionary")
+    table = materialize(reduce(DataFrame.unionByName, [learned_values(df, fields) for df, fields in tables]).distinct(), "dictionary")
     size = table.agg(F.sum(F.octet_length("v"))).first()[0] or 0
     shards = max(1, -(-size // shard_bytes))
     dealt = table.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)))

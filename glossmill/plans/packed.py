@@ -13,14 +13,14 @@ FIELDS_A = ("label_gloss", "label_word", "label_postag")
 BETWEEN = (" | ", " ； ", "\t/ ", " \u00a6 ")
 
 
-def _dictionaries(spark: SparkSession, sf_dir: str, unquoted: bool) -> tuple[list, list]:
-    return learn_dictionary(table(spark, sf_dir, "corpus_a"), FIELDS_A, unquoted), learn_dictionary(table(spark, sf_dir, "corpus_b"), ["orth"], unquoted)
+def _dictionary(spark: SparkSession, sf_dir: str, unquoted: bool) -> list:
+    return learn_dictionary([(table(spark, sf_dir, "corpus_a"), FIELDS_A), (table(spark, sf_dir, "corpus_b"), ["orth"])], unquoted)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = table(spark, sf_dir, "corpus_a"), table(spark, sf_dir, "corpus_b")
-    known_a, known_b = _dictionaries(spark, sf_dir, unquoted=False)
-    return split_packed(spread(a.select("rec_id", *FIELDS_A)), "rec_id", FIELDS_A, known_a).unionByName(split_packed(spread(b.select("rec_id", "orth")), "rec_id", ["orth"], known_b))
+    known = _dictionary(spark, sf_dir, unquoted=False)
+    return split_packed(spread(a.select("rec_id", *FIELDS_A)), "rec_id", FIELDS_A, known).unionByName(split_packed(spread(b.select("rec_id", "orth")), "rec_id", ["orth"], known))
 
 
 def p3_guided(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,10 +29,10 @@ def p3_guided(spark: SparkSession, sf_dir: str) -> DataFrame:
     Only the known values tell which separators and quotes belong to a value.
     """
     a, b = spread(table(spark, sf_dir, "corpus_a").select("rec_id", *FIELDS_A)), spread(table(spark, sf_dir, "corpus_b").select("rec_id", "orth"))
-    known_a, known_b = _dictionaries(spark, sf_dir, unquoted=True)
+    known = _dictionary(spark, sf_dir, unquoted=True)
     between = F.element_at(F.array(*map(F.lit, BETWEEN)), (F.col("rec_id") % len(BETWEEN)).cast("int") + 1)
     bare = lambda df, fields: df.select("rec_id", *[F.call_function("array_join", values_column(F.col(f)), between).alias(f) for f in fields])
-    return split_packed(bare(a, FIELDS_A), "rec_id", FIELDS_A, known_a).unionByName(split_packed(bare(b, ["orth"]), "rec_id", ["orth"], known_b))
+    return split_packed(bare(a, FIELDS_A), "rec_id", FIELDS_A, known).unionByName(split_packed(bare(b, ["orth"]), "rec_id", ["orth"], known))
 
 
 QUERIES = {"p3_found": p3_found, "p3_guided": p3_guided}
