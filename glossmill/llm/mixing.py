@@ -127,9 +127,18 @@ def fit_classifier(docs: DataFrame, targets: Targets, path: str, per_source: int
             yield pa.RecordBatch.from_arrays([batch.column(0), code, ids], names=["half", "domain", "ids"])
 
     held = materialize(sample.mapInArrow(tokenize, "half int, domain int, ids array<int>"), "sample")
-    got = held.select("half", "domain", F.explode("ids").alias("token")).groupBy("half", "domain", "token").count().toArrow()
-    table = np.zeros((2, d, vocab))
-    table[tuple(got[c].to_numpy() for c in ("half", "domain", "token"))] = got["count"].to_numpy()
+
+    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = batch.column(0).to_numpy().astype(np.int64) * d + batch.column(1).to_numpy()
+            sizes = batch.column(2).value_lengths().to_numpy()
+            cell, n = np.unique(np.repeat(row, sizes) * vocab + batch.column(2).flatten().to_numpy(), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], names=["cell", "n"])
+
+    got = held.mapInArrow(counted, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(2 * d * vocab)
+    table[got["cell"].to_numpy()] = got["n"].to_numpy()
+    table = table.reshape(2, d, vocab)
     live = np.array([counts.get(s, 0) > 0 for s in targets.sources])
     want = np.where(live, targets.shares, 0)
     prior = np.log(np.maximum(want / max(want.sum(), 1e-300), 1e-12))
