@@ -177,8 +177,9 @@ def source_of(cells: np.ndarray, d: int) -> np.ndarray:
 
 def onto_labels(rates: np.ndarray, source: np.ndarray, tokens: np.ndarray, top: np.ndarray, goal: np.ndarray) -> np.ndarray:
     """The nearest rates, by tokens, between 0 and ``top`` whose tokens by source are ``goal``: all of a source moved alike and clipped."""
-    lo, hi = np.full(len(goal), -1e6), np.full(len(goal), 1e6)
-    for _ in range(64):
+    reach = float(np.abs(rates).max(initial=0) + top.max(initial=0)) + 1
+    lo, hi = np.full(len(goal), -reach), np.full(len(goal), reach)
+    for _ in range(48):
         mid = (lo + hi) / 2
         short = np.bincount(source, np.clip(rates + mid[source], 0, top) * tokens, len(goal)) < goal
         lo, hi = np.where(short, mid, lo), np.where(short, hi, mid)
@@ -273,8 +274,7 @@ def mix_sources(docs: DataFrame, key: str, source: str, text: str, targets: Targ
             fits = F.element_at(F.array(*[F.lit(float(x)) for x in left]), F.col("source_no") + 1)
             free = free.where(F.col("n_tokens") <= fits)
         else:
-            for r in rated.groupBy("source_no").agg(F.sum(F.col("n_tokens").cast("double") * F.col("whole"))).collect():
-                left[r[0]] -= r[1]
+            left -= np.bincount(of, np.floor(rates) * sums, len(goal))
             fits = F.lit(float("inf"))
         below = _thresholds(free.groupBy("source_no", "bin").agg(F.sum("n_tokens")).collect(), left)
         more = more | ((F.col("n_tokens") <= fits) & (F.col("bin") < F.element_at(F.array(*[F.lit(int(x)) for x in below]), F.col("source_no") + 1)))
