@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from glossmill.operators.sequence import global_index
+from glossmill.session import materialize
 
 #: Parts of speech whose words are pseudo-glosses.
 CONTENT_POS = ("NOUN", "NUM", "ADV", "PRON", "PROPN", "ADJ", "VERB")
@@ -84,17 +89,48 @@ def lexicon_tags(df: DataFrame, key: str, words: str, lexicon: DataFrame) -> Dat
     return known.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(token)), lambda t: F.struct(t["text"].alias("text"), t["lemma"].alias("lemma"), t["pos"].alias("pos"))).alias("tokens"))
 
 
-def decoded(df: DataFrame, key: str, ids: str, pieces: DataFrame, special: Sequence[int] = (), between: str = "") -> DataFrame:
+#: Most bytes of a vocabulary that is sent to every task; ids are joined with a larger one.
+VOCABULARY_BYTES = 16 << 20
+
+
+def decoded(df: DataFrame, key: str, ids: str, pieces: DataFrame, special: Sequence[int] = (), between: str = "", most: int = VOCABULARY_BYTES) -> DataFrame:
     """``(<key>, text)``: the pieces of each row's ids in order, joined by ``between``; ``special`` ids and ids without a piece are left out.
 
-    ``pieces (id, piece)`` is a vocabulary. Null lists give a null text, lists with
-    nothing to show an empty one. Keys must be unique.
+    ``pieces (id, piece)`` is a vocabulary, written to the shared folder. One of up to
+    ``most`` bytes is sent to every task and looked up in the row's own batch, so no
+    row per id is made; with a larger one the ids are joined one row each, sorted on
+    both sides, since the engine takes exploded rows for as small as their source.
+    Null lists give a null text, lists with nothing to show an empty one. Keys must be unique.
     """
-    each = df.select(key, F.posexplode(ids).alias("i", "id"))
+    known = pieces.select("id", "piece").where("id is not null and piece is not null")
     if special:
-        each = each.where(~F.col("id").isin(*special))
-    found = each.join(pieces.select("id", "piece"), "id").groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "piece"))), lambda x: x["piece"]), between).alias("text"))
-    return df.select(key, F.col(ids).isNull().alias("_null")).join(found, key, "left").select(key, F.when(~F.col("_null"), F.coalesce("text", F.lit(""))).alias("text"))
+        known = known.where(~F.col("id").isin(*special))
+    known = materialize(known.groupBy("id").agg(F.array_join(F.array_sort(F.collect_list("piece")), between).alias("piece")), "pieces")
+    if known.agg(F.coalesce(F.sum(F.octet_length("piece") + 12), F.lit(0))).first()[0] <= most:
+        return df.select(key, _shown(known, between)(ids).alias("text"))
+    each = df.select(key, F.posexplode(ids).alias("i", "id"))
+    found = each.join(known.hint("merge"), "id").groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "piece"))), lambda x: x["piece"]), between).alias("text"))
+    return df.select(key, F.col(ids).isNull().alias("_null")).join(found.hint("merge"), key, "left").select(key, F.when(~F.col("_null"), F.coalesce("text", F.lit(""))).alias("text"))
+
+
+def _shown(known: DataFrame, between: str) -> Callable[[str], Column]:
+    rows = known.orderBy("id").toArrow()
+    held = known.sparkSession.sparkContext.broadcast((rows["id"].to_numpy().astype(np.int64), rows["piece"].combine_chunks()))
+
+    @F.arrow_udf(T.StringType())
+    def run(ids: pa.Array) -> pa.Array:
+        of, pieces = held.value
+        flat, sizes = ids.flatten(), pc.fill_null(ids.value_lengths(), 0).to_numpy(zero_copy_only=False)
+        if not len(of):
+            return pc.if_else(ids.is_null(), None, pa.array([""] * len(ids), pa.string()))
+        asked = pc.fill_null(flat, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = np.minimum(np.searchsorted(of, asked), len(of) - 1)
+        hit = (of[at] == asked) & flat.is_valid().to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(hit)])[np.concatenate([[0], np.cumsum(sizes)])]
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces.take(pa.array(at[hit])))
+        return pc.if_else(ids.is_null(), None, pc.binary_join(lists, between))
+
+    return run
 
 
 def pseudo_glosses(df: DataFrame, sentence: str, tokens: Column, path: str | None = None, below: float = COMMON_RATIO, field: str = "lemma", pos: Sequence[str] = CONTENT_POS) -> tuple[DataFrame, DataFrame, DataFrame]:

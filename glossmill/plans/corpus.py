@@ -197,7 +197,7 @@ def decoded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences from the ids of their characters, as a model gives them: with an end mark and padding, which are left out."""
     b = table(spark, sf_dir, "corpus_b").select("rec_id", "translation")
     chars = b.select("rec_id", F.transform(text.characters(F.col("translation")), lambda c: F.ascii(c)).alias("ids"))
-    pieces = b.select(F.explode(text.characters(F.col("translation"))).alias("piece")).distinct().select(F.ascii("piece").alias("id"), "piece")
+    pieces = b.select(F.explode(F.array_distinct(text.characters(F.col("translation")))).alias("piece")).distinct().select(F.ascii("piece").alias("id"), "piece")
     pieces = pieces.unionByName(spark.createDataFrame([(SPECIAL[0], "<pad>"), (SPECIAL[1], "</s>")], "id int, piece string"))
     given = chars.withColumn("ids", F.concat("ids", F.array(F.lit(SPECIAL[1])), F.array_repeat(F.lit(SPECIAL[0]), (F.col("rec_id") % 4).cast("int"))))
     return vocab.decoded(given, "rec_id", "ids", pieces, SPECIAL)

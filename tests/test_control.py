@@ -158,6 +158,22 @@ def test_decoded_ids(spark):
     assert {r.k: r.text for r in vocab.decoded(df, "k", "ids", pieces, [1]).collect()} == {0: "wind wi", 1: "", 2: None, 3: "", 4: "ndwi"}
 
 
+@pytest.mark.parametrize("most", [vocab.VOCABULARY_BYTES, -1])
+def test_decoded_ids_of_any_vocabulary_without_a_broadcast_of_their_rows(spark, most):
+    pieces = spark.createDataFrame([(-3, "neg"), (5, "wi"), (6, "nd"), (6, "b"), (7, None), (None, "x"), (8, "日🌧")], "id int, piece string")
+    lists = {0: [5, 6, -3, 5, 1], 1: [], 2: None, 3: [1, 9], 4: [6, None, 8], 5: [7]}
+    df = spark.createDataFrame(list(lists.items()), "k int, ids array<int>").repartition(2)
+    for special, between, want in (
+        ([1], "", {0: "wibndnegwi", 4: "bnd日🌧"}),
+        ([1, 5], "-", {0: "b-nd-neg", 4: "b-nd-日🌧"}),
+        ([-3, 5, 6, 8], "-", {}),
+    ):
+        got = vocab.decoded(df, "k", "ids", pieces, special, between, most)
+        assert {r.k: r.text for r in got.collect()} == {0: "", 1: "", 2: None, 3: "", 4: "", 5: ""} | want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and ("Generate" in plan) == (most < 0)
+
+
 def test_dictionaries_of_several_maps_and_of_one_over_many_lines(spark, tmp_path):
     df = spark.createDataFrame([(f"w{i}", i) for i in range(50)] + [("w7", 3), (None, 1)], "lemma string, id int")
     delimited.write_dictionary(df, "lemma", "id", f"{tmp_path}/d", entries=9)
