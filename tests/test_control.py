@@ -158,6 +158,25 @@ def test_decoded_ids(spark):
     assert {r.k: r.text for r in vocab.decoded(df, "k", "ids", pieces, [1]).collect()} == {0: "wind wi", 1: "", 2: None, 3: "", 4: "ndwi"}
 
 
+@pytest.mark.parametrize("laid", [True, False])
+@pytest.mark.parametrize("most", [1 << 20, 600, 0])
+def test_frames_are_selected_without_a_broadcast_of_exploded_ordinals(spark, tmp_path, most, laid):
+    videos = {"a": 9000, "b": 3, "c": 130, "d": 64, "e": 10, "f": 1}
+    stand_in = spark.createDataFrame(list(videos.items()), "video_id string, n int").selectExpr("video_id", "explode(sequence(0, n - 1)) AS frame_no").selectExpr("*", "cast(concat(video_id, frame_no) AS binary) AS jpeg")
+    frames.write_store(stand_in, f"file://{tmp_path}/store")
+    store = spark.read.parquet(f"file://{tmp_path}/store/frames")
+    asked = {"a": [0, 63, 64, 4095, 4096, 8999, 9000, 8999], "b": [-1, None, 2], "c": list(range(0, 130, 7)), "d": [63], "e": None, "f": [], "g": [0]}
+    selection = spark.createDataFrame([*asked.items(), ("b", [0, 2]), (None, [1])], "video_id string, ordinals array<int>")
+    wanted = {(v, i) for v, no in [*asked.items(), ("b", [0])] for i in no or [] if i is not None and 0 <= i < videos.get(v, 0)}
+    got = frames.select_frames(store if laid else store.drop("bucket"), selection, most)
+    assert got.columns == ["video_id", "frame_no", "jpeg"]
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(wanted) and {r[:2] for r in rows} == wanted and all(bytes(r[2]) == f"{r[0]}{r[1]}".encode() for r in rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and ("BroadcastHashJoin" in plan) == (most == 1 << 20) and ("SortMergeJoin" in plan) == (most < 1 << 20 and not laid)
+    assert frames.select_frames(store, selection.limit(0), most).count() == 0
+
+
 @pytest.mark.parametrize("most", [vocab.VOCABULARY_BYTES, -1])
 def test_decoded_ids_of_any_vocabulary_without_a_broadcast_of_their_rows(spark, most):
     pieces = spark.createDataFrame([(-3, "neg"), (5, "wi"), (6, "nd"), (6, "b"), (7, None), (None, "x"), (8, "日🌧")], "id int, piece string")
